@@ -163,12 +163,8 @@ def doc_id(text: Column, method: str = "xxhash64") -> Column:
 # -------------------------------------------------------------------------- tokens
 
 
-def shingle_words(text: Column) -> Column:
-    """Lower-case words of a text without punctuation, as an array."""
-    return F.split(F.regexp_replace(normalized(text), r"(?U)^\s+|\s+\z", ""), r"(?U)\s+")
-
-
 def normalized(text: Column) -> Column:
+    """Lower case without punctuation; whitespace stays."""
     return F.regexp_replace(F.lower(text), r"(?U)[^\p{L}\p{N}_\s]", "")
 
 
@@ -176,13 +172,22 @@ def shingles(text: Column, size: int = 5) -> Column:
     """Distinct word n-grams. Fewer words than ``size``: the whole normalised text,
     whitespace untouched; nothing left after normalising: no shingle.
     """
-    words = shingle_words(text)
-    grams = F.transform(
-        F.sequence(F.lit(1), F.size(words) - F.lit(size - 1)),
-        lambda i: F.array_join(F.slice(words, i, size), " "),
-    )
-    return (
-        F.when(F.length(normalized(text)) == 0, F.array().cast("array<string>"))
-        .when(F.size(words) < size, F.array(normalized(text)))
-        .otherwise(F.array_distinct(grams))
-    )
+    def from_norm(norm):
+        trimmed = F.regexp_replace(norm, r"(?U)^\s+|\s+\z", "")
+        return _bound(F.split(trimmed, r"(?U)\s+"), lambda words: from_words(norm, words))
+
+    def from_words(norm, words):
+        grams = F.transform(
+            F.sequence(F.lit(1), F.size(words) - F.lit(size - 1)),
+            lambda i: F.array_join(F.slice(words, i, size), " "))
+        return (
+            F.when(F.length(norm) == 0, F.array().cast("array<string>"))
+            .when(F.size(words) < size, F.array(norm))
+            .otherwise(F.array_distinct(grams)))
+
+    return _bound(normalized(text), from_norm)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use).getItem(0)
