@@ -6,9 +6,10 @@ That is a greedy choice in document order; :func:`first_wins` computes it in rou
 aggregations and joins over narrow (document, bucket) rows instead of one by one.
 """
 
-from dataclasses import dataclass
 import warnings
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,6 @@ class DedupConfig:
     seed: int = 42
     max_items: int | None = None  # kept documents after which the rest passes unchecked
     family: str = "sha1"
-    max_rounds: int = 200
 
     def __post_init__(self):
         if self.enabled and not 64 <= self.num_perm <= 256:
@@ -66,7 +66,11 @@ def _orderable(df: DataFrame, name: str) -> bool:
 # ------------------------------------------------------------------- greedy in rounds
 
 
-def first_wins(members: DataFrame, max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+#: after so many rounds, a remainder of at most so many rows is settled in one go
+SERIAL_AFTER, SERIAL_ROWS = 20, 500_000
+
+
+def first_wins(members: DataFrame, serial_after: int = SERIAL_AFTER) -> tuple[DataFrame, DataFrame]:
     """Greedy keep-first over buckets: returns (conflicts, dropped).
 
     ``members`` holds distinct (``doc``, ``bucket``) rows, ``doc`` being the unique
@@ -74,41 +78,58 @@ def first_wins(members: DataFrame, max_rounds: int = 200) -> tuple[DataFrame, Da
     with more than one document; ``dropped`` is one ``doc`` per dropped document.
 
     A round keeps every document that is first in all its buckets, drops the others
-    in those buckets, and goes on with the rest. Every round settles at least the
-    first open document; exceeding ``max_rounds`` raises instead of returning part.
+    in those buckets, and goes on with the rest. It settles at least the first open
+    document, so the rounds end; most collections need one or two. A long chain of
+    overlapping documents needs a round per two links: after ``serial_after`` rounds a
+    remainder of checked, small size is settled document by document in one task.
     """
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     conflicts = open_members = stage(
         _members_in(members, shared, members.count()), "conflicts")
-    dropped = None
-    for _ in range(max_rounds):
-        total = open_members.count()
-        if total == 0:
-            break
-        heads = stage(
-            open_members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc").alias("first")),
-            "heads")
-        degree = open_members.groupBy("doc").agg(F.count("*").alias("degree"))
-        wins = heads.groupBy(F.col("first").alias("doc")).agg(F.count("*").alias("wins"))
-        kept = wins.join(degree, "doc").where("wins = degree").select("doc")
-        # a bucket is closed once its first document is kept: the others are near copies
-        closed = heads.join(kept, F.col("first") == F.col("doc"), "left_semi")
-        settled = stage(
-            join_by_key(open_members, closed.select("bucket", "first"), "bucket",
-                        hot_keys(heads, "bucket", "n", total))
-            .groupBy("doc").agg(F.max(F.col("doc") == F.col("first")).alias("kept")),
-            "settled")
-        out = settled.where("not kept").select("doc")
-        dropped = out if dropped is None else dropped.unionByName(out)
+    dropped = conflicts.select("doc").limit(0)
+    rounds = 0
+    while total := open_members.count():
+        if rounds >= serial_after and total <= SERIAL_ROWS:
+            return conflicts, dropped.unionByName(stage(_settle_serially(open_members), "rest"))
+        settled = stage(_settle_round(open_members, total), "settled")
+        dropped = dropped.unionByName(settled.where("not kept").select("doc"))
         open_members = stage(open_members.join(settled, "doc", "left_anti"), "open")
-    else:
-        if open_members.count():
-            raise RuntimeError(f"near-duplicate chains not settled after {max_rounds} rounds")
-    if dropped is None:
-        dropped = conflicts.select("doc").limit(0)
+        rounds += 1
     return conflicts, dropped
 
 
+def _settle_round(members: DataFrame, total: int) -> DataFrame:
+    """``doc, kept`` for the documents that one round decides."""
+    heads = stage(
+        members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc").alias("first")), "heads")
+    degree = members.groupBy("doc").agg(F.count("*").alias("degree"))
+    wins = heads.groupBy(F.col("first").alias("doc")).agg(F.count("*").alias("wins"))
+    kept = wins.join(degree, "doc").where("wins = degree").select("doc")
+    # a bucket is closed once its first document is kept: the others are near copies
+    closed = heads.join(kept, F.col("first") == F.col("doc"), "left_semi").select("bucket", "first")
+    decided = join_by_key(members, closed, "bucket", hot_keys(heads, "bucket", "n", total))
+    return decided.groupBy("doc").agg(F.max(F.col("doc") == F.col("first")).alias("kept"))
+
+
+def _settle_serially(members: DataFrame) -> DataFrame:
+    """Dropped documents of a small remainder: one pass in order over the documents."""
+    docs = members.groupBy("doc").agg(F.collect_list("bucket").alias("buckets"))
+
+    def walk(batches):
+        held = set()
+        for batch in batches:
+            out = []
+            for buckets in batch.column("buckets").to_pylist():
+                hit = not held.isdisjoint(buckets)
+                out.append(hit)
+                if not hit:
+                    held.update(buckets)
+            yield batch.select(["doc"]).filter(pa.array(out, pa.bool_()))
+
+    in_order = docs.repartition(1).sortWithinPartitions("doc")
+    return in_order.mapInArrow(walk, members.select("doc").schema)
+
+
 def _members_in(members: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     """Members of the counted buckets, balanced even if one bucket holds most rows."""
     counts = stage(counts, "buckets")
@@ -170,7 +191,7 @@ def dedup_fuzzy(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_co
     if "text" not in df.columns:
         return df
     members = bucket_members(df, order_by, cfg, id_col)
-    _, dropped = first_wins(members, cfg.max_rounds)
+    _, dropped = first_wins(members)
     return _without(df, _within_capacity(dropped, members, cfg.max_items), order_by, id_col)
 
 
@@ -181,7 +202,7 @@ def _without(df: DataFrame, dropped: DataFrame, order_by, id_col: str) -> DataFr
 
 def near_dup_matches(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
     """Each dropped document with the first kept one it collides with."""
-    conflicts, dropped = first_wins(bucket_members(df, order_by, cfg, id_col), cfg.max_rounds)
+    conflicts, dropped = first_wins(bucket_members(df, order_by, cfg, id_col))
     return kept_match(conflicts, dropped)
 
 
@@ -197,6 +218,6 @@ def dedup(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str
     unique = stage(unique.withColumn("_buckets", cfg.bucket_udf()("text")), "unique")
     bands = unique.select(order_key(unique, order_by, id_col).alias("doc"), F.col("_buckets").alias("buckets"))
     members = _explode(bands)
-    _, dropped = first_wins(members, cfg.max_rounds)
+    _, dropped = first_wins(members)
     dropped = _within_capacity(dropped, members, cfg.max_items)
     return _without(unique.drop("_buckets"), dropped, order_by, id_col)

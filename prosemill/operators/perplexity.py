@@ -58,18 +58,17 @@ def perplexity_windows(df: DataFrame, windows: Windows = Windows(), id_col: str
 
 
 def bigrams(df: DataFrame, windows: Windows, id_col: str) -> DataFrame:
-    """``doc, window, gram, first, n``: word pairs of each window with their number.
-    The first word of a document has no predecessor and is not scored.
+    """``doc, window, gram, first``: one row per scored word, with its predecessor.
+    The first word of a document has none and is not scored.
     """
     pairs = F.arrays_zip(
         F.slice("w", 1, F.size("w") - 1).alias("first"), F.slice("w", 2, F.size("w") - 1).alias("second"))
     rows = (
         df.select(F.col(id_col).alias("doc"), words(F.col("text")).alias("w")).where(F.size("w") > 1)
         .select("doc", F.posexplode(pairs).alias("pos", "pair")))
-    return rows.groupBy(
+    return rows.select(
         "doc", windows.of(F.col("pos") + 1).alias("window"),
-        F.concat_ws(" ", "pair.first", "pair.second").alias("gram"), F.col("pair.first").alias("first"),
-    ).agg(F.count("*").alias("n"))
+        F.concat_ws(" ", "pair.first", "pair.second").alias("gram"), F.col("pair.first").alias("first"))
 
 
 def vocabulary_size(df: DataFrame) -> int:
@@ -78,8 +77,9 @@ def vocabulary_size(df: DataFrame) -> int:
 
 
 def bigram_model(pairs: DataFrame, vocabulary: int, k: float) -> DataFrame:
-    """``gram, n, loss`` with add-k smoothing from counted bigrams."""
-    grams = stage(pairs.groupBy("gram", "first").agg(F.sum("n").alias("n")), "grams")
+    """``gram, n, loss`` with add-k smoothing from bigrams; counting combines on the map
+    side, so the corpus itself does not shuffle."""
+    grams = stage(pairs.groupBy("gram", "first").agg(F.count("*").alias("n")), "grams")
     contexts = stage(grams.groupBy("first").agg(
         F.sum("n").alias("first_n"), F.count("*").alias("grams")), "contexts")
     known = join_by_key(
@@ -94,24 +94,21 @@ def perplexity(
 ) -> DataFrame:
     """``id, windows, perplexity`` of each document under a bigram model of ``df``.
 
-    ``scored`` restricts the scoring to a part of ``df``; the model always sees all.
-    A document with nothing to score has a NaN perplexity. ``weighted`` weighs windows
-    by their scored tokens; without it a short last window counts like a full one.
+    ``scored`` names the documents to score, a part of ``df``; the model always sees
+    all. A document with nothing to score has a NaN perplexity. ``weighted`` weighs
+    windows by their scored tokens; without it a short last window counts like a full
+    one.
     """
-    pairs = stage(bigrams(df, windows, id_col), "bigrams")
-    model = stage(bigram_model(pairs, vocabulary_size(df), k), "model")
-    docs = df if scored is None else scored
-    wanted = docs.select(F.col(id_col).alias("doc"))
-    own = pairs if scored is None else pairs.join(wanted, "doc", "left_semi")
+    model = stage(bigram_model(bigrams(df, windows, id_col), vocabulary_size(df), k), "model")
+    docs = df if scored is None else df.join(scored.select(id_col), id_col, "left_semi")
     total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     losses = join_by_key(
-        own.select("doc", "window", "gram", F.col("n").alias("times")), model.select("gram", "loss"),
-        "gram", hot_keys(model, "gram", "n", total))
-    by_window = losses.groupBy("doc", "window").agg(
-        F.sum(F.col("times") * F.col("loss")).alias("loss"), F.sum("times").alias("tokens"))
+        bigrams(docs, windows, id_col).drop("first"), model.select("gram", "loss"), "gram",
+        hot_keys(model, "gram", "n", total))
+    by_window = losses.groupBy("doc", "window").agg(F.sum("loss").alias("loss"), F.count("*").alias("tokens"))
     mean = F.sum("loss") / F.sum("tokens") if weighted else F.avg(F.col("loss") / F.col("tokens"))
     by_doc = by_window.groupBy("doc").agg(F.count("*").alias("windows"), mean.alias("mean_loss"))
-    return wanted.join(by_doc, "doc", "left").select(
+    return docs.select(F.col(id_col).alias("doc")).join(by_doc, "doc", "left").select(
         F.col("doc").alias(id_col), F.coalesce("windows", F.lit(0)).alias("windows"),
         F.coalesce(F.exp("mean_loss"), F.lit(float("nan"))).alias("perplexity"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import trim_unicode
+from ..sources.storage import stage
 from .joins import int_median
 
 TEXT_FIELD_MIN = 100
@@ -95,15 +96,10 @@ def metadata_coverage(stats: DataFrame, total: int) -> DataFrame:
     occurs, all keys that are no text field candidates.
     """
     freq = json_key_frequency(stats, total)
-    candidates = text_field_candidates(stats).select("key")
-    known = F.col("key").isin(*P.METADATA_KEYS)
-    marked = freq.withColumn("known", known)
-    any_known = marked.agg(F.max("known").alias("any_known"))
-    others = freq.join(candidates, "key", "left_anti").select("key")
-    return (
-        marked.join(F.broadcast(others.withColumn("other", F.lit(True))), "key", "left")
-        .where(F.col("known") | (F.col("other") & ~F.lit(bool(any_known.first()[0]))))
-        .select("key", "docs", "pct").orderBy("key"))
+    known = freq.where(F.col("key").isin(*P.METADATA_KEYS))
+    if known.isEmpty():
+        known = freq.join(text_field_candidates(stats).select("key"), "key", "left_anti")
+    return known.orderBy("key")
 
 
 def doc_size_stats(lines: DataFrame) -> DataFrame:
@@ -145,22 +141,20 @@ def sample_docs(df: DataFrame, order_by, columns, n: int = 3, chars: int = 500)
 
 
 def profile_corpus(lines: DataFrame) -> DataFrame:
-    """The whole profile as one row: text field, fields, metadata, sizes, quality counts."""
-    from ..sources.storage import stage
-
+    """The whole profile as one row: text field, number of fields, which metadata keys
+    occur, sizes, quality counts. The fields themselves: :func:`json_key_frequency`.
+    """
     stats = stage(field_stats(lines), "fields")  # one row per key and type
-    total = line_total(lines).first()["lines"]
     text_field = recommend_text_field(stats).first()["text_field"]
-    keys = json_key_frequency(stats, total).agg(
-        F.array_sort(F.collect_list("key")).alias("all_fields"),
-        F.array_sort(F.collect_list(F.when(F.col("key").isin(*P.METADATA_KEYS), F.col("key")))).alias("metadata_fields"))
-    empty = empty_text_count(stats, text_field) if text_field else stats.sparkSession.sql("SELECT 0L AS empty_docs")
-    sizes = doc_size_stats(lines)
-    row = {**keys.first().asDict(), **empty.first().asDict(), **malformed_count(lines).first().asDict()}
-    out = sizes.select(
+    known = F.when(F.col("key").isin(*P.METADATA_KEYS), F.col("key"))
+    facts = {
+        **stats.agg(F.countDistinct("key").alias("fields"),
+                    F.array_sort(F.collect_set(known)).alias("metadata_fields")).first().asDict(),
+        **malformed_count(lines).first().asDict(),
+        "empty_docs": empty_text_count(stats, text_field).first()[0] if text_field else 0,
+    }
+    out = doc_size_stats(lines).select(
         F.lit(text_field).cast("string").alias("text_field"),
-        F.array(*map(F.lit, row["all_fields"])).cast("array<string>").alias("all_fields"),
-        F.array(*map(F.lit, row["metadata_fields"])).cast("array<string>").alias("metadata_fields"),
-        F.lit(row["lines"]).alias("lines"), F.lit(row["malformed"]).alias("malformed"),
-        F.lit(row["empty_docs"]).cast("bigint").alias("empty_docs"), "*")
+        F.array(*map(F.lit, facts.pop("metadata_fields"))).cast("array<string>").alias("metadata_fields"),
+        *[F.lit(value).cast("bigint").alias(name) for name, value in facts.items()], "*")
     return out.withColumn("size_class", size_class(F.col("mean_chars")))

@@ -12,7 +12,8 @@ from ..operators.ingest import ingest
 from ..operators.quality import quality_filter
 from ..operators.tokenize import run_tokenization
 from ..sources.jsonl import export_columns, read_jsonl, write_jsonl, write_jsonl_single
-from ..sources.storage import output_bytes, stage
+from ..sources.session import ship_package
+from ..sources.storage import output_bytes, release, stage
 from .config import RunConfig, load_config
 
 
@@ -60,7 +61,11 @@ def prepare(raw: DataFrame, cfg: RunConfig, counts: dict | None = None) -> DataF
 
 
 def run(spark: SparkSession, cfg: RunConfig, raw: DataFrame | None = None) -> RunReport:
-    """Execute all enabled steps; any failure raises. ``raw`` replaces the input file."""
+    """Execute all enabled steps; any failure raises. ``raw`` replaces the input file.
+
+    The staged tables stay for ``report.documents``; ``release`` deletes them.
+    """
+    ship_package(spark)
     if raw is None:
         raw = read_jsonl(spark, cfg.ingestion.input_path)
     counts = {} if cfg.compute_counts else None
@@ -92,6 +97,7 @@ def main(argv=None) -> None:
         "counts": report.counts, "retention_pct": report.retention_pct, "output": report.output_path,
         "output_mb": report.output_mb, "tokens": report.tokens_path, "anomalies": report.token_anomalies,
     }))
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -116,15 +116,15 @@ def sample_docs(spark, sf_dir):
 
 @query("profile_corpus", f"""
     SELECT (SELECT key FROM ({_CANDIDATES}) ORDER BY mean_chars DESC, key DESC LIMIT 1) AS text_field,
-           (SELECT string_agg(key, ',' ORDER BY key) FROM ({_FREQ})) AS all_fields,
+           (SELECT count(*) FROM ({_FREQ})) AS fields,
            (SELECT string_agg(key, ',' ORDER BY key) FROM ({_FREQ})
             WHERE key IN ({', '.join(map(S.lit, P.METADATA_KEYS))})) AS metadata_fields,
            (SELECT count(*) FROM {_LINES}) AS lines, 0::bigint AS malformed,
            (SELECT round(avg(length(value)), 4) FROM {_LINES}) AS mean_chars""")
 def profile_corpus(spark, sf_dir):
     return R.profile_corpus(lines(spark, sf_dir)).select(
-        "text_field", F.array_join("all_fields", ",").alias("all_fields"),
-        F.array_join("metadata_fields", ",").alias("metadata_fields"), "lines", "malformed", "mean_chars")
+        "text_field", "fields", F.array_join("metadata_fields", ",").alias("metadata_fields"),
+        "lines", "malformed", "mean_chars")
 
 
 # -------------------------------------------------------------------- length reports

@@ -31,6 +31,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_STAGED: dict[str, list[str]] = {}
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet to the scratch folder and read it back.
 
@@ -38,10 +41,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     instead of recomputing the plan.
     """
     path = scratch_path(df.sparkSession, name)
+    _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all tables this application staged; frames that read them end with that."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for staged in _STAGED.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(staged)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def spread(df: DataFrame, *keys) -> DataFrame:
     """Use all cores for heavy per-row work: shuffle a frame whose scan has fewer
     partitions than the cluster has cores. A large scan is returned as it is.
