@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 from .scoring import batch_scorer, scorer_registry
-from .text import share
+from .text import bound, share
 
 LABEL_PREFIX = "__label__"
 UNKNOWN = (LABEL_PREFIX + "unknown", 0.0)
@@ -45,9 +45,10 @@ def stopword_scorer(text: Column) -> Column:
 
     Ties go to the language listed first; no hit at all is unknown with score 0.
     """
-    hits = F.struct(*[stopword_hits(text, lang).alias(lang) for lang in P.STOPWORDS])
-    # the one-element transform names the hit counts, so each is computed once
-    return F.transform(F.array(hits), _best_label).getItem(0)
+    def hits(sampled):
+        return F.struct(*[stopword_hits(sampled, lang).alias(lang) for lang in P.STOPWORDS])
+
+    return bound(text, lambda sampled: bound(hits(sampled), _best_label))
 
 
 def _best_label(hits: Column) -> Column:

@@ -18,6 +18,8 @@ _VOID = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source track wbr "
     "basefont bgsound command frame image isindex nextid spacer".split()
 )
+# the parser loses an ampersand in the last word of its input unless something follows
+_END = "\0"
 _SKIPPED = frozenset(HIDDEN_ELEMENTS) | {"template", "rt", "rp"}
 
 
@@ -66,9 +68,9 @@ def visible_text(text: str) -> str:
         return text
     try:
         parser = _BodyText()
-        parser.feed(text)
+        parser.feed(text + _END)
         parser.close()
-        return "".join(parser.out)
+        return "".join(parser.out).removesuffix(_END)
     except Exception:
         return re.sub(HTML_TAG, "", text)
 

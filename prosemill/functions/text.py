@@ -174,7 +174,7 @@ def shingles(text: Column, size: int = 5) -> Column:
     """
     def from_norm(norm):
         trimmed = F.regexp_replace(norm, r"(?U)^\s+|\s+\z", "")
-        return _bound(F.split(trimmed, r"(?U)\s+"), lambda words: from_words(norm, words))
+        return bound(F.split(trimmed, r"(?U)\s+"), lambda words: from_words(norm, words))
 
     def from_words(norm, words):
         grams = F.transform(
@@ -185,9 +185,9 @@ def shingles(text: Column, size: int = 5) -> Column:
             .when(F.size(words) < size, F.array(norm))
             .otherwise(F.array_distinct(grams)))
 
-    return _bound(normalized(text), from_norm)
+    return bound(normalized(text), from_norm)
 
 
-def _bound(value: Column, use) -> Column:
+def bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often it is used."""
     return F.transform(F.array(value), use).getItem(0)

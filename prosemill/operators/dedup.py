@@ -55,7 +55,7 @@ def dedup_exact(df: DataFrame, order_by, id_col: str = "doc_id") -> DataFrame:
     if id_col not in df.columns:
         return df
     rest = [c for c in df.columns if c not in {id_col, *order_by} and _orderable(df, c)]
-    first = Window.partitionBy(id_col).orderBy(*order_by, *rest)
+    first = Window.partitionBy(id_col).orderBy(*([*order_by, *rest] or [id_col]))
     return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 

@@ -38,7 +38,7 @@ class Windows:
 
 def words(text: Column) -> Column:
     """Whitespace tokens; an empty array for a blank text."""
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+    return F.regexp_extract_all(text, F.lit(r"(?U)\S+"), F.lit(0))
 
 
 def perplexity_windows(df: DataFrame, windows: Windows = Windows(), id_col: str = "doc_id") -> DataFrame:

@@ -1,0 +1,103 @@
+import random
+import time
+
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from prosemill.functions import markup as M
+from prosemill.functions import text as X
+from prosemill.operators.ingest import clean_text
+
+
+def clean(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    return [r.text for r in sorted(clean_text(df).collect(), key=lambda r: r.i)]
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>a</p><p>b</p>", "ab"),  # no separator
+    ("x<nav>n<ul><li>m</ul></nav>y<header>h</header><noscript>q</noscript>", "xy"),
+    ("a<script>var t='</p>';</script>b<style>p{}</style>c", "abc"),
+    ("<nav>gone<div>deep", ""),  # an unclosed element reaches to the end
+    ("<div><nav>gone</div>kept", "kept"),  # its parent's end closes it
+    ("a<!-- c -->b<!DOCTYPE html>c<?pi?>d", "abcd"),
+    ("&amp;lt; &copy; &#65;&#x42; &unknown; AT&T", "&lt; © AB &unknown AT&T"),
+    ("a<br>b<br/>c<img src=x>d", "abcd"),
+    ("a < b and c > d", "a < b and c > d"),
+    ("</p>stray", "stray"),
+    ("<![CDATA[x]]>y", "xy"),
+    ("<ruby>k<rt>r</rt></ruby><template>t</template>", "k"),
+    ("plain", "plain"),
+])
+def test_visible_text(html, text):
+    assert M.visible_text(html) == text
+
+
+def test_parser_failure_falls_back_to_pattern(monkeypatch):
+    def broken(self, data):
+        raise AssertionError
+
+    monkeypatch.setattr(M._BodyText, "feed", broken)
+    assert M.visible_text("<b>x</b> y") == "x y"
+
+
+def test_html_is_decoded_twice(spark):
+    assert clean(spark, "<p>&amp;lt;b&amp;gt;</p>") == ["<b>"]
+
+
+def test_unicode_steps(spark):
+    nasty = "é a b​c­d\r\nxy p q\tz\u0007"
+    assert clean(spark, nasty) == ["é a bcd\nxy p q z"]
+
+
+def test_null_and_empty(spark):
+    assert clean(spark, None, "", " \n\t ") == ["", "", ""]
+
+
+def test_whitespace_rules(spark):
+    assert clean(spark, "   a\n\t b  c\n\n\n\n\nd  \n") == ["a\nb c\n\nd"]
+
+
+def test_long_blank_runs_stay_linear(spark):
+    start = time.time()
+    for blank in (" ", " "):
+        assert clean(spark, "a" + blank * 60_000 + "\nb" + blank * 60_000 + "c")[0].startswith("a\nb")
+    assert time.time() - start < 15
+
+
+def test_tidy_equals_a_python_model(spark, apply):
+    rng = random.Random(7)
+    alphabet = "ab. \t\n\n    　​\r\x0b\x1f\x85é"
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(4000)]
+
+    def model(t):
+        t = regex.sub(r"[\p{C}--[\n\t]]", "", t, flags=regex.V1)
+        t = regex.sub(r"[ \t ]+", " ", t)
+        t = "\n".join(part.strip() for part in t.split("\n"))
+        return regex.sub(r"\n\n\n+", "\n\n", t).strip()
+
+    assert apply(X.tidy, texts) == [model(t) for t in texts]
+
+
+def test_strip_control_can_keep_later_code_points(apply):
+    later = "a\U0001fae8b"  # assigned after Java 17's tables
+    assert apply(X.strip_control, [later]) == ["ab"]
+    assert apply(lambda c: X.strip_control(c, keep_new=True), [later]) == [later]
+
+
+def test_nfc_composes(apply):
+    assert apply(M.normalize_nfc, ["é", "plain", None]) == ["é", "plain", None]
+
+
+def test_basic_unescape_decodes_once(apply):
+    assert apply(X.unescape_basic, ["&amp;lt;&nbsp;&quot;"]) == ["&lt; \""]
+
+
+def test_clean_text_makes_one_python_trip(spark):
+    from tests.conftest import plan_of
+
+    df = spark.createDataFrame([("a",)], "text string")
+    plan = plan_of(clean_text(df).where(F.length("text") > 3).select("text", F.md5("text")))
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.count("(?Umd)") == 1  # the chain itself is not copied into the filter

@@ -1,0 +1,123 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from prosemill.functions import patterns as P
+from prosemill.functions import text as X
+from prosemill.operators.ingest import INGESTED, IngestConfig, cast_ingested, ingest
+from prosemill.sources.jsonl import RAW_SCHEMA, read_jsonl
+from tests.conftest import plan_of
+
+LONG = "Plain words about nothing in particular. " * 4
+
+
+def run(spark, rows, schema="text string, url string", **cfg):
+    return ingest(spark.createDataFrame(rows, schema), IngestConfig(input_path="dir/in.jsonl", **cfg))
+
+
+def test_schema_and_values(spark):
+    out = run(spark, [(LONG, "u"), ("short", None), (None, None)])
+    assert out.schema.simpleString() == INGESTED.simpleString()
+    (row,) = out.collect()
+    assert row.text == LONG.strip() and row.url == "u" and row.source == "in.jsonl"
+    assert row.char_count == len(LONG.strip()) and row.word_count == len(LONG.split())
+
+
+@pytest.mark.parametrize("length, kept", [(99, 0), (100, 1), (101, 1)])
+def test_minimum_length_in_code_points(spark, length, kept):
+    assert run(spark, [("\U0001f600" * length, None)]).count() == kept
+
+
+def test_empty_text_never_passes(spark):
+    assert run(spark, [("", None), (None, None)], min_text_length=0).count() == 0
+
+
+@pytest.mark.parametrize("text, n", [
+    ("function var const let return", 5),
+    ("var var var var var var", 6),  # Q3: repeated keywords all count
+    ("a=>b", 1), ("a => b", 0), ("window.x", 1), ("window. x", 0),
+    ("variable classy", 0), ("éclass classé class", 1),
+])
+def test_code_keywords(apply, text, n):
+    assert apply(X.code_keyword_count, [text]) == [n]
+
+
+@pytest.mark.parametrize("text, code", [
+    ("var a var b var c var d var e", False),  # five keywords
+    ("var a var b var c var d var e var f", True),
+    ("return " + "x" * 88 + ";" * 5, False),  # 5 of 100 characters
+    ("return " + "x" * 87 + ";" * 6, True),
+    ("{};" * 50, False),  # symbols alone
+    ("", False),
+])
+def test_code_rule(apply, text, code):
+    assert apply(X.is_code, [text]) == [code]
+
+
+def test_code_filter_can_be_off(spark):
+    code = "var a = 1; " * 20
+    assert run(spark, [(code, None)]).count() == 0
+    assert run(spark, [(code, None)], filter_code=False).count() == 1
+
+
+def test_words(apply):
+    assert apply(X.word_count, ["a b c\n d", "", " x "]) == [4, 0, 1]
+
+
+def test_ids(apply):
+    assert apply(lambda c: X.doc_id(c, "xxh64"), ["a", ""]) == ["d24ec4f1a98c6e5b", "ef46db3751d8e999"]
+    import xxhash
+
+    native = [xxhash.xxh64_hexdigest(t.encode(), seed=42) for t in ("a", "éé", "x" * 100)]
+    assert apply(X.doc_id, ["a", "éé", "x" * 100]) == native
+    assert apply(lambda c: X.doc_id(c, "md5"), ["a"]) == ["0cc175b9c0f1b6a831c399e269772661"]
+    with pytest.raises(ValueError):
+        X.doc_id(F.lit("a"), "crc")
+
+
+def test_without_normalisation_text_stays(spark):
+    raw = "  <b>kept</b>  " + LONG
+    assert run(spark, [(raw, None)], normalize_text=False).first().text == raw
+
+
+def test_missing_columns(spark):
+    no_text = spark.createDataFrame([("u",)], "url string")
+    assert ingest(no_text).schema == INGESTED and ingest(no_text).count() == 0
+    no_url = spark.createDataFrame([(LONG,)], "text string")
+    assert ingest(no_url).first().url is None
+
+
+def test_q14_ingest_time_is_true_epoch_seconds(spark):
+    assert abs(run(spark, [(LONG, None)]).first().ingest_time - time.time()) < 120
+
+
+def test_cast_drops_extra_columns(spark):
+    df = spark.sql("SELECT 1 doc_id, 't' text, NULL url, 2 char_count, 3 word_count, 's' source, 4 ingest_time, 5 extra")
+    assert cast_ingested(df).schema.simpleString() == INGESTED.simpleString()
+
+
+def test_plan_has_one_python_stage_and_reads_needed_columns(spark, tmp_path):
+    df = spark.createDataFrame([(LONG, "u", 1)], "text string, url string, other int")
+    df.write.parquet(str(tmp_path / "in"))
+    plan = plan_of(ingest(spark.read.parquet(str(tmp_path / "in"))))
+    assert plan.count("ArrowEvalPython") == 1
+    assert "other" not in plan
+    assert "Exchange" not in plan
+
+
+def test_read_jsonl_bad_lines_and_missing_path(spark, tmp_path):
+    path = tmp_path / "a.jsonl"
+    path.write_text('{"text": "one", "url": "u", "x": 1}\nnot json\n{"text": 5}\n', encoding="utf-8")
+    rows = read_jsonl(spark, str(path)).collect()
+    assert sorted((r.text or "") for r in rows) == ["", "5", "one"]
+    bad = read_jsonl(spark, str(path), with_corrupt=True).cache()
+    assert [r[0] for r in bad.where("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()] == ["not json"]
+    assert read_jsonl(spark, str(path)).schema == RAW_SCHEMA
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_jsonl(spark, str(tmp_path / "none.jsonl"))
+
+
+def test_patterns_are_valid_java(apply):
+    for pattern in (P.CODE_KEYWORD, P.EMAIL, P.IPV4, P.PHONE, P.REDACTION_TAG, P.HTML_TAG, P.WIDE_SPACE):
+        assert apply(lambda c: X.matches(c, pattern), ["nothing"]) == [0]
