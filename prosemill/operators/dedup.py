@@ -70,12 +70,20 @@ def _orderable(df: DataFrame, name: str) -> bool:
 SERIAL_AFTER, SERIAL_ROWS = 20, 500_000
 
 
-def first_wins(members: DataFrame, serial_after: int = SERIAL_AFTER) -> tuple[DataFrame, DataFrame]:
-    """Greedy keep-first over buckets: returns (conflicts, dropped).
+def shared_members(members: DataFrame) -> DataFrame:
+    """The rows of ``members`` (distinct document, ``bucket`` pairs, materialised) whose
+    bucket has more than one document; materialised. The others can hit nothing.
+    """
+    counts = stage(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    hot = hot_keys(counts, "bucket", "n", members.count())
+    return stage(join_by_key(members, counts.select("bucket"), "bucket", hot, "left_semi"), "conflicts")
+
+
+def first_wins(members: DataFrame, serial_after: int = SERIAL_AFTER) -> DataFrame:
+    """Greedy keep-first over buckets: one ``doc`` per dropped document.
 
     ``members`` holds distinct (``doc``, ``bucket``) rows, ``doc`` being the unique
-    order key, and should be materialised. ``conflicts`` are the members of buckets
-    with more than one document; ``dropped`` is one ``doc`` per dropped document.
+    order key, and should be materialised.
 
     A round keeps every document that is first in all its buckets, drops the others
     in those buckets, and goes on with the rest. It settles at least the first open
@@ -83,19 +91,16 @@ def first_wins(members: DataFrame, serial_after: int = SERIAL_AFTER) -> tuple[Da
     overlapping documents needs a round per two links: after ``serial_after`` rounds a
     remainder of checked, small size is settled document by document in one task.
     """
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    conflicts = open_members = stage(
-        _members_in(members, shared, members.count()), "conflicts")
-    dropped = conflicts.select("doc").limit(0)
+    dropped = members.select("doc").limit(0)
     rounds = 0
-    while total := open_members.count():
+    while total := members.count():
         if rounds >= serial_after and total <= SERIAL_ROWS:
-            return conflicts, dropped.unionByName(stage(_settle_serially(open_members), "rest"))
-        settled = stage(_settle_round(open_members, total), "settled")
+            return dropped.unionByName(stage(_settle_serially(members), "rest"))
+        settled = stage(_settle_round(members, total), "settled")
         dropped = dropped.unionByName(settled.where("not kept").select("doc"))
-        open_members = stage(open_members.join(settled, "doc", "left_anti"), "open")
+        members = stage(members.join(settled, "doc", "left_anti"), "open")
         rounds += 1
-    return conflicts, dropped
+    return dropped
 
 
 def _settle_round(members: DataFrame, total: int) -> DataFrame:
@@ -130,13 +135,6 @@ def _settle_serially(members: DataFrame) -> DataFrame:
     return in_order.mapInArrow(walk, members.select("doc").schema)
 
 
-def _members_in(members: DataFrame, counts: DataFrame, total: int) -> DataFrame:
-    """Members of the counted buckets, balanced even if one bucket holds most rows."""
-    counts = stage(counts, "buckets")
-    return join_by_key(members, counts.select("bucket"), "bucket",
-                       hot_keys(counts, "bucket", "n", total), "left_semi")
-
-
 def kept_match(conflicts: DataFrame, dropped: DataFrame) -> DataFrame:
     """For every dropped ``doc`` the first kept document with a common bucket (``kept_doc``).
 
@@ -154,34 +152,55 @@ def kept_match(conflicts: DataFrame, dropped: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------- fuzzy
 
 
-def order_key(df: DataFrame, order_by, id_col: str) -> F.Column:
+def order_key(order_by, id_col: str) -> F.Column:
     """The total order of documents as one column; a plain one if the id alone orders."""
     cols = list(dict.fromkeys([*order_by, id_col]))
     return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
 
 
-def bucket_members(df: DataFrame, order_by, cfg: DedupConfig, id_col: str = "doc_id") -> DataFrame:
-    """Materialised (``doc``, ``bucket``) rows; documents without shingles have none."""
-    key = order_key(df, order_by, id_col).alias("doc")
-    narrow = df.select(key, cfg.bucket_udf()("text").alias("buckets"))
-    return _explode(stage(narrow, "bands"))
+def band_table(df: DataFrame, order_by, cfg: DedupConfig, id_col: str = "doc_id") -> DataFrame:
+    """Materialised id, order columns and ``buckets``, one narrow row per document."""
+    names = dict.fromkeys([*order_by, id_col])
+    return stage(df.select(*names, cfg.bucket_udf()("text").alias("buckets")), "bands")
 
 
-def _explode(bands: DataFrame) -> DataFrame:
-    return bands.select("doc", F.explode("buckets").alias("bucket"))
+def conflicts_of(bands: DataFrame, order_by, id_col: str) -> DataFrame:
+    """Materialised (``doc``, ``bucket``) rows of buckets with several documents.
 
+    Only ids and bucket keys take part in finding them; the order columns join in
+    afterwards, for the few documents that share a bucket.
+    """
+    members = bands.select(F.col(id_col).alias("doc"), F.explode("buckets").alias("bucket"))
+    conflicts = shared_members(members)
+    if list(dict.fromkeys([*order_by, id_col])) == [id_col]:
+        return conflicts
+    keys = bands.select(F.col(id_col).alias("id"), order_key(order_by, id_col).alias("doc"))
+    return stage(conflicts.withColumnRenamed("doc", "id").join(keys, "id").select("doc", "bucket"), "keyed")
 
-def _within_capacity(dropped: DataFrame, members: DataFrame, max_items: int | None) -> DataFrame:
-    """Dropped documents up to the ``max_items``-th kept and indexed one; later ones pass."""
-    if max_items is None:
+
+def _dropped(bands: DataFrame, order_by, cfg: DedupConfig, id_col: str) -> DataFrame:
+    dropped = first_wins(conflicts_of(bands, order_by, id_col))
+    if cfg.max_items is None:
         return dropped
-    kept = members.select("doc").distinct().join(dropped, "doc", "left_anti")
+    indexed = bands.where(F.size("buckets") > 0).select(order_key(order_by, id_col).alias("doc"))
+    return _within_capacity(dropped, indexed, cfg.max_items)
+
+
+def _within_capacity(dropped: DataFrame, indexed: DataFrame, max_items: int) -> DataFrame:
+    """Dropped documents up to the ``max_items``-th kept and indexed one; later ones pass."""
+    kept = indexed.join(dropped, "doc", "left_anti")
     last = kept.orderBy("doc").limit(max_items).agg(F.max("doc").alias("last"), F.count("*").alias("n"))
     last = last.where(F.col("n") == max_items)  # one row, or none below capacity
     late = dropped.join(F.broadcast(last), dropped["doc"] > last["last"], "left_semi")
     return dropped.join(late, "doc", "left_anti")
 
 
+def _without(df: DataFrame, dropped: DataFrame, order_by, id_col: str) -> DataFrame:
+    plain = list(dict.fromkeys([*order_by, id_col])) == [id_col]
+    ids = dropped.select(F.col("doc" if plain else f"doc.{id_col}").alias(id_col))
+    return df.join(ids, id_col, "left_anti").select(*df.columns)
+
+
 def dedup_fuzzy(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
     """Without near duplicates. Ids must be unique; run :func:`dedup_exact` before.
 
@@ -190,20 +209,14 @@ def dedup_fuzzy(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_co
     """
     if "text" not in df.columns:
         return df
-    members = bucket_members(df, order_by, cfg, id_col)
-    _, dropped = first_wins(members)
-    return _without(df, _within_capacity(dropped, members, cfg.max_items), order_by, id_col)
-
-
-def _without(df: DataFrame, dropped: DataFrame, order_by, id_col: str) -> DataFrame:
-    return (df.withColumn("doc", order_key(df, order_by, id_col))
-              .join(dropped, "doc", "left_anti").select(*df.columns))
+    bands = band_table(df, order_by, cfg, id_col)
+    return _without(df, _dropped(bands, order_by, cfg, id_col), order_by, id_col)
 
 
 def near_dup_matches(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
     """Each dropped document with the first kept one it collides with."""
-    conflicts, dropped = first_wins(bucket_members(df, order_by, cfg, id_col))
-    return kept_match(conflicts, dropped)
+    conflicts = conflicts_of(band_table(df, order_by, cfg, id_col), order_by, id_col)
+    return kept_match(conflicts, first_wins(conflicts))
 
 
 def dedup(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
@@ -215,9 +228,5 @@ def dedup(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str
     unique = dedup_exact(df, order_by, id_col)
     if not {"text", id_col} <= set(df.columns):
         return unique
-    unique = stage(unique.withColumn("_buckets", cfg.bucket_udf()("text")), "unique")
-    bands = unique.select(order_key(unique, order_by, id_col).alias("doc"), F.col("_buckets").alias("buckets"))
-    members = _explode(bands)
-    _, dropped = first_wins(members)
-    dropped = _within_capacity(dropped, members, cfg.max_items)
-    return _without(unique.drop("_buckets"), dropped, order_by, id_col)
+    unique = stage(unique.withColumn("buckets", cfg.bucket_udf()("text")), "unique")
+    return _without(unique.drop("buckets"), _dropped(unique, order_by, cfg, id_col), order_by, id_col)

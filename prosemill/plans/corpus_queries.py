@@ -155,9 +155,10 @@ def minhash_signature(spark, sf_dir):
     SELECT bucket, count(*) AS docs, min(doc_id) AS first_doc
     FROM ({S.buckets('documents', 8, 16)}) GROUP BY bucket""")
 def lsh_buckets(spark, sf_dir):
-    members = D.bucket_members(documents(spark, sf_dir), ["doc_id"], MD5)
-    return members.groupBy(F.lower(F.hex("bucket")).alias("bucket")).agg(
-        F.count("*").alias("docs"), F.min("doc").alias("first_doc"))
+    bands = D.band_table(documents(spark, sf_dir), ["doc_id"], MD5)
+    return bands.select("doc_id", F.explode("buckets").alias("key")).groupBy("key").agg(
+        F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"),
+    ).select(F.lower(F.hex("key")).alias("bucket"), "docs", "first_doc")
 
 
 def _fuzzy_sql(**options) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.session import ship_package
-from ..sources.storage import spread
+from ..sources.storage import size_shuffles, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,8 +29,9 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A corpus table restricted to the columns in use, on all cores."""
+    """A corpus table restricted to the columns in use, on all cores, shuffles sized for it."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size_shuffles(df)
     return spread(df.select(*columns) if columns else df)
 
 

@@ -54,6 +54,30 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for a wide shuffle of so many bytes: 256 MB each up to 20,000
+    partitions; beyond, partitions grow to 2 GB before their number rises further.
+    """
+    def parts(size):
+        return -(-input_bytes // size)
+
+    return max(min(parts(256 << 20), 20_000), parts(2 << 30))
+
+
+def size_shuffles(df: DataFrame) -> None:
+    """Raise ``spark.sql.shuffle.partitions`` if it is too low for the size of a scan.
+
+    It is never lowered; adaptive execution merges what turns out small.
+    """
+    spark = df.sparkSession
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
+    units = {"k": 10, "m": 20, "g": 30}
+    size = int(split[:-1]) << units[split[-1]] if split[-1] in units else int(split)
+    wanted = shuffle_partitions(df.rdd.getNumPartitions() * size)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+
+
 def spread(df: DataFrame, *keys) -> DataFrame:
     """Use all cores for heavy per-row work: shuffle a frame whose scan has fewer
     partitions than the cluster has cores. A large scan is returned as it is.

@@ -147,3 +147,17 @@ def test_output_bytes(spark, tmp_path):
 def test_spread_only_small_scans(spark):
     assert S.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
     assert S.spread(spark.range(100, numPartitions=20)).rdd.getNumPartitions() == 20
+
+
+def test_shuffles_grow_with_the_input(spark):
+    mb, gb, tb = 1 << 20, 1 << 30, 1 << 40
+    sizes = [S.shuffle_partitions(n) for n in (1, 512 * mb, 100 * gb, 10 * tb, 100 * tb)]
+    assert sizes == [1, 2, 400, 20_000, 51_200]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    S.size_shuffles(spark.range(10))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    try:
+        S.size_shuffles(spark.range(100, numPartitions=50))  # as many splits as 6 GB
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 25
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
