@@ -14,7 +14,7 @@ HEADLINE = (
     "clean_text", "ingest", "quality_filter", "dedup_exact", "dedup_fuzzy_sha1", "tokenize",
     "write_jsonl_sharded", "write_tokens_parquet", "corpus_run",
     "profile_corpus", "length_histogram_log", "integrity_scan", "pii_leak_report",
-    "language_distribution", "uniqueness_check", "perplexity",
+    "language_distribution", "uniqueness_check", "perplexity_stats",
 )
 
 

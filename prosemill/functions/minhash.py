@@ -72,8 +72,8 @@ def shingle_set(text: str, size: int) -> set[str]:
     return {" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def signature(grams: set[str], family: str, num_perm: int, seed: int, chunk: int = 2048) -> np.ndarray:
-    """Minimum of every permutation over the shingles, a chunk of shingles at a time."""
+def signature(grams: set[str], family: str, num_perm: int, seed: int, chunk: int = 256) -> np.ndarray:
+    """Minimum of every permutation over the shingles, a cache-sized chunk at a time."""
     a, b = coefficients(family, num_perm, seed)
     if family == "sha1":
         raw = b"".join(hashlib.sha1(g.encode()).digest()[:4] for g in grams)
@@ -82,11 +82,16 @@ def signature(grams: set[str], family: str, num_perm: int, seed: int, chunk: int
         base = np.array([int(hashlib.md5(g.encode()).hexdigest()[:7], 16) for g in grams], dtype=np.int64)
     lows = []
     for i in range(0, len(base), chunk):
-        x = base[i : i + chunk, None] * a + b
+        x = base[i : i + chunk, None] * a
+        x += b
         if family == "sha1":
             # x mod (2^61 - 1) without a division: fold the high bits, subtract at most once
-            x = (x & _MERSENNE_61) + (x >> np.uint64(61))
-            x = np.minimum(x, x - _MERSENNE_61) & np.uint64(0xFFFFFFFF)
+            other = x >> np.uint64(61)
+            x &= _MERSENNE_61
+            x += other
+            np.subtract(x, _MERSENNE_61, out=other)
+            np.minimum(x, other, out=x)
+            x &= np.uint64(0xFFFFFFFF)
         else:
             x %= _MERSENNE_31
         lows.append(x.min(axis=0))

@@ -102,9 +102,11 @@ def perplexity(
     model = stage(bigram_model(bigrams(df, windows, id_col), vocabulary_size(df), k), "model")
     docs = df if scored is None else df.join(scored.select(id_col), id_col, "left_semi")
     total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # every bigram is in the model; a left join keeps the many rows of the left side,
+    # whose size the optimizer underestimates, from being broadcast
     losses = join_by_key(
         bigrams(docs, windows, id_col).drop("first"), model.select("gram", "loss"), "gram",
-        hot_keys(model, "gram", "n", total))
+        hot_keys(model, "gram", "n", total), "left")
     by_window = losses.groupBy("doc", "window").agg(F.sum("loss").alias("loss"), F.count("*").alias("tokens"))
     mean = F.sum("loss") / F.sum("tokens") if weighted else F.avg(F.col("loss") / F.col("tokens"))
     by_doc = by_window.groupBy("doc").agg(F.count("*").alias("windows"), mean.alias("mean_loss"))

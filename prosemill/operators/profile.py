@@ -102,17 +102,26 @@ def metadata_coverage(stats: DataFrame, total: int) -> DataFrame:
     return known.orderBy("key")
 
 
+def line_facts(lines: DataFrame) -> DataFrame:
+    """Per line its size in characters and bytes and whether it is malformed: all that
+    the reports below need, in a few bytes per document."""
+    return parsed(lines).select(
+        F.lit("all").alias("scope"), F.length("value").cast("bigint").alias("chars"),
+        F.octet_length("value").cast("bigint").alias("bytes"), F.col("doc").isNull().alias("malformed"))
+
+
 def doc_size_stats(lines: DataFrame) -> DataFrame:
     """Line sizes in characters and bytes: mean, median (exact), min, max."""
-    sizes = lines.select(
-        F.lit("all").alias("scope"), F.length("value").cast("bigint").alias("chars"),
-        F.octet_length("value").cast("bigint").alias("bytes"))
-    base = sizes.groupBy("scope").agg(*[
+    return size_stats(stage(line_facts(lines), "sizes"))
+
+
+def size_stats(facts: DataFrame) -> DataFrame:
+    base = facts.groupBy("scope").agg(*[
         agg.alias(f"{name}_{col}")
         for col in ("chars", "bytes")
         for name, agg in (("mean", F.round(F.avg(col), 4)), ("min", F.min(col)), ("max", F.max(col)))])
     for col in ("chars", "bytes"):
-        base = base.join(int_median(sizes, "scope", col).withColumnRenamed("median", f"median_{col}"), "scope")
+        base = base.join(int_median(facts, "scope", col).withColumnRenamed("median", f"median_{col}"), "scope")
     return base.drop("scope")
 
 
@@ -145,15 +154,16 @@ def profile_corpus(lines: DataFrame) -> DataFrame:
     occur, sizes, quality counts. The fields themselves: :func:`json_key_frequency`.
     """
     stats = stage(field_stats(lines), "fields")  # one row per key and type
+    sizes = stage(line_facts(lines), "sizes")
     text_field = recommend_text_field(stats).first()["text_field"]
     known = F.when(F.col("key").isin(*P.METADATA_KEYS), F.col("key"))
     facts = {
         **stats.agg(F.countDistinct("key").alias("fields"),
                     F.array_sort(F.collect_set(known)).alias("metadata_fields")).first().asDict(),
-        **malformed_count(lines).first().asDict(),
+        **sizes.agg(F.count("*").alias("lines"), F.count_if("malformed").alias("malformed")).first().asDict(),
         "empty_docs": empty_text_count(stats, text_field).first()[0] if text_field else 0,
     }
-    out = doc_size_stats(lines).select(
+    out = size_stats(sizes).select(
         F.lit(text_field).cast("string").alias("text_field"),
         F.array(*map(F.lit, facts.pop("metadata_fields"))).cast("array<string>").alias("metadata_fields"),
         *[F.lit(value).cast("bigint").alias(name) for name, value in facts.items()], "*")
