@@ -36,19 +36,22 @@ def strip_label(label: Column) -> Column:
     return F.regexp_replace(label, f"^{LABEL_PREFIX}", "")
 
 
-def stopword_hits(text: Column, lang: str) -> Column:
-    return F.regexp_count(text, F.lit(P.java(P.whole_words(P.STOPWORDS[lang]), "iuU"))).cast("bigint")
-
-
 def stopword_scorer(text: Column) -> Column:
     """Label with the most stop-word hits and its share of all hits.
 
-    Ties go to the language listed first; no hit at all is unknown with score 0.
+    One pass over the text finds the stop words of all languages; a word counts for
+    every language that lists it. Ties go to the language listed first; no hit at all
+    is unknown with score 0.
     """
-    def hits(sampled):
-        return F.struct(*[stopword_hits(sampled, lang).alias(lang) for lang in P.STOPWORDS])
+    every = sorted({w for words in P.STOPWORDS.values() for w in words})
+    found = F.regexp_extract_all(F.lower(text), F.lit(P.java(P.whole_words(every))), F.lit(0))
+
+    def per_language(found):
+        return F.struct(*[
+            F.size(F.filter(found, lambda word: word.isin(*words))).cast("bigint").alias(lang)
+            for lang, words in P.STOPWORDS.items()])
 
-    return bound(text, lambda sampled: bound(hits(sampled), _best_label))
+    return bound(found, lambda f: bound(per_language(f), _best_label))
 
 
 def _best_label(hits: Column) -> Column:

@@ -50,11 +50,14 @@ def strip_control(text: Column, keep_new: bool = False) -> Column:
 
 def standardize_spaces(text: Column) -> Column:
     """No-break spaces and tabs become plain spaces."""
-    return F.translate(text, "\u00a0\t", "  ")
+    for blank in ("\u00a0", "\t"):
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, "[ \t]+", " ")
+    """Runs of spaces and tabs become one space."""
+    return F.regexp_replace(text, "[ \t]{2,}|\t", " ")
 
 
 def strip_lines(text: Column) -> Column:
@@ -77,10 +80,20 @@ def trim_unicode(text: Column) -> Column:
 def tidy(text: Column, keep_new: bool = False) -> Column:
     """Every cleaning step after markup and Unicode normalisation.
 
-    Spaces collapse before lines are stripped: same result, no quadratic runs.
+    Spaces collapse before lines are stripped: same result, no quadratic runs. Plain
+    substring searches spare most texts the costly pattern of the line step; once
+    lines are stripped, only newlines are left to trim.
     """
-    text = standardize_spaces(strip_control(text, keep_new))
-    return trim_unicode(collapse_newlines(strip_lines(collapse_spaces(text))))
+    def lines(spaced):
+        blank_at_end = (
+            F.startswith(spaced, F.lit(" ")) | F.endswith(spaced, F.lit(" "))
+            | F.contains(spaced, F.lit(" \n")) | F.contains(spaced, F.lit("\n ")))
+        # after the steps before, only non-ASCII text has other whitespace in a line
+        other_blanks = (F.octet_length(spaced) != F.length(spaced)) & spaced.rlike(r"(?U)[\s&&[^ \n]]")
+        return F.when(blank_at_end | other_blanks, strip_lines(spaced)).otherwise(spaced)
+
+    spaced = collapse_spaces(standardize_spaces(strip_control(text, keep_new)))
+    return F.btrim(collapse_newlines(bound(spaced, lines)), F.lit("\n"))
 
 
 # ---------------------------------------------------------------------- measures
