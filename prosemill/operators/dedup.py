@@ -188,11 +188,10 @@ def _dropped(bands: DataFrame, order_by, cfg: DedupConfig, id_col: str) -> DataF
 
 def _within_capacity(dropped: DataFrame, indexed: DataFrame, max_items: int) -> DataFrame:
     """Dropped documents up to the ``max_items``-th kept and indexed one; later ones pass."""
-    kept = indexed.join(dropped, "doc", "left_anti")
-    last = kept.orderBy("doc").limit(max_items).agg(F.max("doc").alias("last"), F.count("*").alias("n"))
-    last = last.where(F.col("n") == max_items)  # one row, or none below capacity
-    late = dropped.join(F.broadcast(last), dropped["doc"] > last["last"], "left_semi")
-    return dropped.join(late, "doc", "left_anti")
+    first_kept = indexed.join(dropped, "doc", "left_anti").orderBy("doc").limit(max_items)
+    # null while there are fewer kept documents than that
+    last = first_kept.agg(F.when(F.count("*") == max_items, F.max("doc")))
+    return dropped.where(F.coalesce(F.col("doc") <= last.scalar(), F.lit(True)))
 
 
 def _without(df: DataFrame, dropped: DataFrame, order_by, id_col: str) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.quality import quality_filter
 from ..operators.tokenize import run_tokenization
 from ..sources.jsonl import export_columns, read_jsonl, write_jsonl, write_jsonl_single
 from ..sources.session import ship_package
-from ..sources.storage import output_bytes, release, size_shuffles, stage
+from ..sources.storage import output_bytes, release, spread, stage
 from .config import RunConfig, load_config
 
 
@@ -38,7 +38,7 @@ def prepare(raw: DataFrame, cfg: RunConfig, counts: dict | None = None) -> DataF
     ``counts`` receives the number of documents after each step. The first two are
     observed while the one writing job runs; nothing is computed again to count it.
     """
-    size_shuffles(raw)
+    raw = spread(raw)
     watch = {}
 
     def observed(df: DataFrame, name: str) -> DataFrame:

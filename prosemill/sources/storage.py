@@ -64,26 +64,30 @@ def shuffle_partitions(input_bytes: int) -> int:
     return max(min(parts(256 << 20), 20_000), parts(2 << 30))
 
 
-def size_shuffles(df: DataFrame) -> None:
-    """Raise ``spark.sql.shuffle.partitions`` if it is too low for the size of a scan.
+def size_shuffles(df: DataFrame) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` if it is too low for the size of a scan;
+    returns the number of scan partitions.
 
-    It is never lowered; adaptive execution merges what turns out small.
+    The setting is never lowered; adaptive execution merges what turns out small.
     """
-    spark = df.sparkSession
+    spark, scan = df.sparkSession, df.rdd.getNumPartitions()
     split = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
     units = {"k": 10, "m": 20, "g": 30}
     size = int(split[:-1]) << units[split[-1]] if split[-1] in units else int(split)
-    wanted = shuffle_partitions(df.rdd.getNumPartitions() * size)
+    wanted = shuffle_partitions(scan * size)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    return scan
 
 
-def spread(df: DataFrame, *keys) -> DataFrame:
-    """Use all cores for heavy per-row work: shuffle a frame whose scan has fewer
-    partitions than the cluster has cores. A large scan is returned as it is.
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work, with shuffles sized for the scan.
+
+    A scan with fewer partitions than the cluster has cores is small and gets
+    redistributed; a large scan is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df if size_shuffles(df) >= cores else df.repartition(cores)
 
 
 def output_bytes(spark: SparkSession, path: str) -> int:

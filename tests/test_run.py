@@ -138,6 +138,43 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert df.count() == 3 and df.inputFiles()[0].removeprefix("file://").startswith(root)
 
 
+def test_release_deletes_staged_tables_only(spark, tmp_path):
+    staged = S.stage(spark.range(3), "gone").inputFiles()[0].removeprefix("file://")
+    other = tmp_path / "stays"
+    spark.range(3).write.parquet(str(other))
+    S.release(spark)
+    assert not os.path.exists(staged) and other.exists()
+
+
+def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
+    class Elsewhere:
+        conf = {}
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        S.scratch_root(Elsewhere)
+
+
+def test_source_by_file(spark, tmp_path):
+    from prosemill.operators.ingest import IngestConfig, ingest
+
+    for name in ("a.jsonl", "b.jsonl"):
+        (tmp_path / name).write_text('{"text": "%s"}\n' % ("words " * 30 + name[0]))
+    raw = J.read_jsonl(spark, str(tmp_path))
+    out = ingest(raw, IngestConfig(input_path=str(tmp_path)), source=J.file_name())
+    assert sorted(r.source for r in out.collect()) == ["a.jsonl", "b.jsonl"]
+
+
+def test_run_over_records_without_text(spark, tmp_path):
+    cfg = C.from_dict(settings(tmp_path, tokenization={"enabled": False}))
+    raw = spark.createDataFrame([("u",)], "url string")
+    report = run(spark, cfg, raw)
+    assert report.counts == {"ingested": 0, "filtered": 0, "deduplicated": 0}
+    assert report.retention_pct is None
+
+
 def test_output_bytes(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "x").write_bytes(b"12345")
