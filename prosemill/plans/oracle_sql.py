@@ -27,12 +27,17 @@ def html_text(html: str) -> str:
 
 
 def unescape(text: str, more: bool = False) -> str:
+    """The basic entities; with ``more`` as HTML decodes them: further names, and the
+    final semicolon may be missing (some page titles end inside an entity)."""
     pairs = [("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"),
-             ("&apos;", "chr(39)"), ("&nbsp;", "chr(160)")]
+             ("&apos;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")]
     if more:
-        pairs += [("&copy;", "chr(169)"), ("&middot;", "chr(183)")]
-    for entity, char in [*pairs, ("&amp;", "'&'")]:
-        text = f"replace({text}, '{entity}', {char})"
+        pairs[-1:-1] = [("&copy;", "chr(169)"), ("&middot;", "chr(183)")]
+    for entity, char in pairs:
+        if more and entity not in ("&#39;", "&apos;"):
+            text = rx(text, f"{entity}?", char)
+        else:
+            text = f"replace({text}, '{entity}', {char})"
     return text
 
 
