@@ -75,7 +75,10 @@ def shared_members(members: DataFrame) -> DataFrame:
     bucket has more than one document; materialised. The others can hit nothing.
     """
     counts = stage(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    hot = hot_keys(counts, "bucket", "n", members.count())
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return members.limit(0)
+    hot = hot_keys(counts, "bucket", "n", total)
     return stage(join_by_key(members, counts.select("bucket"), "bucket", hot, "left_semi"), "conflicts")
 
 

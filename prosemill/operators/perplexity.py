@@ -61,11 +61,11 @@ def bigrams(df: DataFrame, windows: Windows, id_col: str) -> DataFrame:
     """``doc, window, gram, first``: one row per scored word, with its predecessor.
     The first word of a document has none and is not scored.
     """
-    pairs = F.arrays_zip(
-        F.slice("w", 1, F.size("w") - 1).alias("first"), F.slice("w", 2, F.size("w") - 1).alias("second"))
+    pairs = F.greatest(F.size("w") - 1, F.lit(0))
+    zipped = F.arrays_zip(F.slice("w", 1, pairs).alias("first"), F.slice("w", 2, pairs).alias("second"))
     rows = (
-        df.select(F.col(id_col).alias("doc"), words(F.col("text")).alias("w")).where(F.size("w") > 1)
-        .select("doc", F.posexplode(pairs).alias("pos", "pair")))
+        df.select(F.col(id_col).alias("doc"), words(F.col("text")).alias("w"))
+        .select("doc", F.posexplode(zipped).alias("pos", "pair")))
     return rows.select(
         "doc", windows.of(F.col("pos") + 1).alias("window"),
         F.concat_ws(" ", "pair.first", "pair.second").alias("gram"), F.col("pair.first").alias("first"))
