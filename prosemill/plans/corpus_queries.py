@@ -194,14 +194,15 @@ def dedup_capacity(spark, sf_dir):
     return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"], D.DedupConfig(family="md5", max_items=300)).select("doc_id")
 
 
-@query("near_dup_matches", f"""
+@query("near_dup_pairs", f"""
     WITH RECURSIVE uniq AS MATERIALIZED {_UNIQUE}, {S.walk('uniq')}
     SELECT l.doc_id AS doc, min(k.doc_id) AS kept_doc
     FROM bucketed l JOIN bucketed k USING (bucket)
     WHERE l.doc_id IN (SELECT doc_id FROM seen WHERE NOT is_kept)
       AND k.doc_id IN (SELECT doc_id FROM seen WHERE is_kept) AND k.doc_id < l.doc_id
     GROUP BY l.doc_id""")
-def near_dup_matches(spark, sf_dir):
+def near_dup_pairs(spark, sf_dir):
+    """Each dropped document with the first kept one of a common bucket."""
     return D.near_dup_matches(_unique(spark, sf_dir), ["doc_id"], MD5)
 
 
@@ -260,6 +261,22 @@ def token_anomalies(spark, sf_dir):
     return counts.select("docs", "empty_docs", "failed_docs")
 
 
+@query("token_specials", """
+    SELECT policy, count(*) AS docs, CASE WHEN policy = 'error_empty' THEN count(*) ELSE 0 END AS empty_docs
+    FROM documents, (VALUES ('as_text'), ('error_empty'), ('parse')) p(policy) GROUP BY policy""")
+def token_specials(spark, sf_dir):
+    """Texts with a special-token string appended, under each policy; failed rows stay."""
+    policies = {"error_empty": {}, "as_text": {"special": "as_text"}, "parse": {"parse_special": True}}
+    docs = documents(spark, sf_dir).withColumn("text", F.concat("text", F.lit(T.END_OF_TEXT)))
+    counts = None
+    for policy, options in policies.items():
+        out = T.tokenize(docs, T.TokenizeConfig(ranks_path=_ranks(), **options)).agg(
+            F.lit(policy).alias("policy"), F.count("*").alias("docs"),
+            F.count_if(F.col("token_count") == 0).alias("empty_docs"))
+        counts = out if counts is None else counts.unionByName(out)
+    return counts
+
+
 _WORDS = "list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')"
 
 

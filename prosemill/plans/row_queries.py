@@ -1,12 +1,18 @@
 """Row-level queries: cleaning, ingestion, language, personal data, toxicity, quality."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import language, markup, pii, toxicity
 from ..functions import patterns as P
 from ..functions import text as X
+from ..functions.scoring import batch_scorer
+from ..operators import dedup as D
 from ..operators import ingest as I
 from ..operators import quality as Q
+from ..operators.tokenize import tokenize
 from ..sources.jsonl import pair
 from . import oracle_sql as S
 from .registry import documents, query, table, text_query
@@ -113,6 +119,29 @@ def require_text(spark, sf_dir):
     return counted("documents").unionByName(counted("pages"))
 
 
+@query("missing_column_policy", """
+    SELECT step, CASE WHEN step IN ('ingest', 'tokenize') THEN 0 ELSE count(*) END AS docs
+    FROM documents, (VALUES ('ingest'), ('quality_filter'), ('dedup_exact'), ('dedup_fuzzy'), ('tokenize')) s(step)
+    GROUP BY step""")
+def missing_column_policy(spark, sf_dir):
+    """Rows that each step gives for documents without the column it works on."""
+    docs = documents(spark, sf_dir, "doc_id", "lang")
+    steps = {
+        "ingest": I.ingest(docs), "quality_filter": Q.quality_filter(docs),
+        "dedup_exact": D.dedup_exact(docs, ["lang"], "content_id"), "dedup_fuzzy": D.dedup_fuzzy(docs, ["doc_id"]),
+        "tokenize": tokenize(docs)}
+    counts = [df.agg(F.lit(step).alias("step"), F.count("*").alias("docs")) for step, df in steps.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("batch_inference", "SELECT doc_id, length(text)::double AS score FROM documents")
+def batch_inference(spark, sf_dir):
+    """A model called for eight texts at a time; here it measures them."""
+    scorer = batch_scorer(lambda: len, lambda model, texts: [(float(model(t)),) for t in texts],
+                          "score double", batch_size=8)
+    return documents(spark, sf_dir).select("doc_id", scorer(F.col("text"))["score"].alias("score"))
+
+
 @query("source_tag", "SELECT 'documents.parquet' AS source, count(*) AS docs FROM documents")
 def source_tag(spark, sf_dir):
     return I.ingest(documents(spark, sf_dir), RAW_ONLY).groupBy("source").agg(F.count("*").alias("docs"))
