@@ -1,6 +1,6 @@
 """All queries of this subpackage and their SQL."""
 
-from . import ngram_join  # noqa: F401  (it registers)
+from . import byte_bpe, exact_dedup, ngram_join  # noqa: F401  (they register)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

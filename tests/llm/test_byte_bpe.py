@@ -1,0 +1,69 @@
+import hashlib
+import random
+import sys
+
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from prosemill.llm.byte_bpe import byte_ranks, digests, merge, op7_byte_bpe, read_ranks, transcode
+
+tiktoken = pytest.importorskip("tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    path, pattern = byte_ranks()
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+
+def test_merge_equals_the_library_piece_by_piece(library):
+    rng = random.Random(3)
+    ranks = read_ranks(byte_ranks()[0])
+    parts = ["the", "tion", "é", "ß", "日", "🙂", "a", "aa", "xq", "0", "$$", "́"]
+    for _ in range(3000):
+        piece = "".join(rng.choice(parts) for _ in range(rng.randint(1, 24))).encode()
+        assert merge(piece, ranks) == library._encode_single_piece(piece), piece
+
+
+def test_split_agrees_on_every_character(library):
+    path, pattern = byte_ranks()
+    find = regex.compile(pattern).findall
+    ranks = read_ranks(path)
+    for first in range(0, sys.maxunicode, 0x400):
+        text = "".join(f"a{chr(c)}1" for c in range(first, first + 0x400) if not 0xD800 <= c < 0xE000)
+        own = [i for p in find(text) for i in merge(p.encode(), ranks)]
+        assert own == library.encode_ordinary(text), hex(first)
+
+
+TEXTS = ["", None, " ", "Hello  world", "it's we'll\n\n\tx", "<|endoftext|>", "ab" * 4000, " " * 3000, "é" * 2000,
+         "日本語テキスト", "🙂🙃", "\u0000\u001c\u0085 x", "word " * 20_000, "a" * 100_000]
+
+
+def expected(library, text):
+    ids = library.encode_ordinary(text or "")
+    packed = b"".join(i.to_bytes(4, "little") for i in ids)
+    return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_texts_equal_the_library_and_round_trip(spark, library):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string").withColumn("ids", F.lit(1)).withColumn("key", F.lit("x"))
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in digests(transcode(docs, *byte_ranks())).collect()}
+    for i, text in enumerate(TEXTS):
+        assert got[i] == expected(library, text), i
+
+
+def test_null_and_repeated_ids_and_empty_table(spark):
+    docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, "c"), (1, "c")], "doc_id bigint, text string")
+    out = transcode(docs, *byte_ranks())
+    assert out.count() == 4 and out.columns == ["doc_id", "ids", "decoded"]
+    assert transcode(docs.limit(0), *byte_ranks()).count() == 0
+
+
+def test_query_equals_the_library(spark, library):
+    sf = "/root/testdata/sf0.001"
+    texts = dict(map(tuple, spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()))
+    rows = op7_byte_bpe(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == expected(library, texts[r.doc_id])
