@@ -1,6 +1,8 @@
 """All queries of this subpackage and their SQL."""
 
-from . import byte_bpe, exact_dedup, ngram_join  # noqa: F401  (they register)
+from . import (  # noqa: F401  (they register)
+    byte_bpe, exact_dedup, html_main_text, ngram_join, quality_ranking, url_rules,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
