@@ -315,7 +315,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     need = F.greatest(F.lit(1), F.ceil(F.ceil(4 * F.col("n") / 5) / 10))
     left = stage(classes.join(shared, "p").where(F.col("shared") >= need).select("id", "h"), "left")
 
-    texts = rows.join(left, rows["id"].eqNullSafe(left["id"]) & (rows["h"] == left["h"]), "left_semi").select("text")
+    # merged at every size: a broadcast that fits small inputs only would hide this shuffle
+    texts = rows.join(left.hint("merge"), rows["id"].eqNullSafe(left["id"]) & (rows["h"] == left["h"]), "left_semi").select("text")
     cut = texts.mapInArrow(_slices(4 * slices, width), _SLICE).dropDuplicates(["node", "part"])
     shared = cut.groupBy("part").applyInArrow(
         _frequencies, "node binary, n bigint, grams array<bigint>, df array<bigint>")
