@@ -27,7 +27,7 @@ CASES = [
     ("Apache License, Version 2.0 and CC BY-NC 4.0", "apache-2,cc-by-nc"), ("apache license version 20", ""), ("cc by nc cc by nc", "cc-by-nc"),
     ("licensed under the GNU General Public License, version 3", "gpl"), ("the GNU General Public License v3", "gpl"),
     ("GNU general licence", ""), ("licensed under GNU Lesser General Public License version 2", "lgpl"),
-    ("Permission is hereby granted, free of charge, to anyone obtaining a copy of this software", "mit"),
+    ("Permission is hereby granted, free of charge, to any human obtaining a copy of this software", "mit"),
     ("Redistribution and use in source and binary forms, with or without changes, are permitted", "bsd"),
     ("All rights reserved.", "all-rights-reserved"), ("rights reserved", ""),
     ("", ""), (None, ""), ("   ", ""), ("x " * 100_000 + "under the mit license", "mit"), ("license " * 3000, ""),
