@@ -286,8 +286,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                width: int = 5, fragments: int | None = None, slices: int = 8) -> tuple[DataFrame, DataFrame]:
     """Documents grouped by links of at least ``percent`` Jaccard similarity of shingle sets.
 
-    Returns two tables: per input row its id, ``n_shingles`` and ``component_id`` (the
-    smallest id reachable by links, its own included), and the verified links between
+    Returns two tables: per input row its id, ``n_shingles``, ``component_id`` (the
+    smallest id reachable by links, its own included), ``h`` (hash of the text) and ``root``
+    (128-bit name of the component, null without shingles), and the verified links between
     representatives of different sets (``x``, ``y``: 128-bit names of sets) that connect
     the components.
 
@@ -334,13 +335,29 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = classes.select("p", "q", "id", name.alias("node"))
     grouped = named.join(components(links, "x", "y"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
-    grouped = grouped.join(least, "root").select("p", "q", "component_id")
+    grouped = grouped.join(least, "root").select("p", "q", "component_id", "root")
     out = facts.where("n > 0").join(grouped, ["p", "q"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
-    none = facts.where("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "h", "root")
+    none = facts.where("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), "h", F.lit(None).cast("binary").alias("root"))
     return out.union(none), links
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The input rows with one row of each component, that of the smallest (id, text hash), null
+    ids last; rows without shingles all stay. See ``ngram_join``."""
+    rows, _ = ngram_join(docs, id_col, text_col, **options)
+    key = F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "h")
+    alone = rows.where("root IS NULL").groupBy(F.col(id_col).alias("id"), "h").agg(F.lit(1).alias("copies"))
+    # rows of one id and one text are told apart by nothing; one of them stays
+    best = rows.where("root IS NOT NULL").groupBy("root", key.alias("key")).agg(F.count("*").alias("copies")).groupBy("root").agg(
+        F.min(F.struct("key", "copies")).alias("best")).select("best.key.id", "best.key.h", "best.copies")
+    stay = best.union(alone).select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("copies").alias("__n")).hint("merge")
+    text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    kept = docs.join(stay, docs[id_col].cast("bigint").eqNullSafe(F.col("__id")) & (text == F.col("__h")))
+    once = kept.where("__n > 1").dropDuplicates(["__id", "__h"])
+    return kept.where("__n = 1").union(once).select(*docs.columns)
+
+
 @query("op1_ngram_jaccard_join")
 def op1_ngram_jaccard_join(spark, sf_dir):
-    return ngram_join(table(spark, sf_dir, "documents", "doc_id", "text"))[0]
+    return ngram_join(table(spark, sf_dir, "documents", "doc_id", "text"))[0].drop("h", "root")

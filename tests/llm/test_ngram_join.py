@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prosemill.llm.components import components
-from prosemill.llm.ngram_join import ngram_join, op1_ngram_jaccard_join
+from prosemill.llm.ngram_join import keep_one, ngram_join, op1_ngram_jaccard_join
 from prosemill.llm.shingles import shingle_sets, word_hashes
 
 from .brute import ngram_groups, roots, word_shingles
@@ -68,7 +68,7 @@ def test_large_family_makes_few_pairs(spark):
 def test_null_ids_repeats_extra_columns_and_empty_tables(spark):
     docs = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (4, None), (None, None)]
     df = spark.createDataFrame(docs, SCHEMA).withColumn("n", F.lit(1)).withColumn("part", F.lit(2)).withColumn("component_id", F.lit(0))
-    got = sorted(map(tuple, ngram_join(df)[0].collect()), key=repr)
+    got = sorted(map(tuple, ngram_join(df)[0].drop("h", "root").collect()), key=repr)
     assert got == sorted([(None, 2, 3), (3, 2, 3), (3, 2, 3), (4, 0, 4), (None, 0, None)], key=repr)
     assert ngram_join(spark.createDataFrame([], SCHEMA))[0].count() == 0
     with pytest.raises(ValueError):
@@ -104,3 +104,14 @@ def test_components(spark):
     want = roots({x for e in real for x in e}, real)
     assert {r.node: r.root for r in components(df, "a", "b").collect()} == want
     assert components(df.limit(0), "a", "b").count() == 0
+
+
+def test_keep_one_row_of_each_component(spark, near):
+    df = spark.createDataFrame(near, SCHEMA).withColumn("n", F.lit(1)).withColumn("h", F.lit(1)).withColumn("copies", F.lit(1))
+    out = keep_one(df)
+    want = ngram_groups(near)
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, (n, c) in want.items() if i == c or not n)
+    odd = [(None, "a b c"), (None, "a b c"), (3, "a b c"), (3, "a b c"), (3, "x y z"), (4, None), (4, None), (None, "q r"), (None, "q r")]
+    kept = sorted(map(tuple, keep_one(spark.createDataFrame(odd, SCHEMA)).collect()), key=repr)
+    assert kept == sorted([(3, "a b c"), (3, "x y z"), (4, None), (4, None), (None, "q r")], key=repr)
