@@ -27,11 +27,13 @@ def whole_run(spark, sf_dir):
     from prosemill.sources.jsonl import read_jsonl, write_jsonl
     from prosemill.sources.storage import scratch_path
 
+    if _ranks() is None:
+        raise FileNotFoundError("the run includes tokenization, and there is no rank file")
     raw, out, tokens = (scratch_path(spark, name) for name in ("raw", "out", "tokens"))
     write_jsonl(spark.read.parquet(f"{sf_dir}/documents.parquet").select("text"), raw)
     cfg = RunConfig(
         ingestion=RUN.ingestion, filtering=RUN.filtering, output_file=out, processed_dir=tokens,
-        tokenization=TokenizeConfig(ranks_path=_ranks(), max_length=2048, enabled=_ranks() is not None))
+        tokenization=TokenizeConfig(ranks_path=_ranks()))
     start = time.perf_counter()
     run(spark, cfg, read_jsonl(spark, raw))
     return round(time.perf_counter() - start, 3)

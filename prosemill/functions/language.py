@@ -11,16 +11,18 @@ LABEL_PREFIX = "__label__"
 UNKNOWN = (LABEL_PREFIX + "unknown", 0.0)
 
 
-def sample(text: Column, size: int = 1000, strategy: str = "quarter") -> Column:
-    """The characters a language model sees.
+def sample(text: Column, size: int | None = 1000, strategy: str = "quarter") -> Column:
+    """The characters a language model sees; with ``size`` None all of them.
 
     ``quarter``: ``size`` characters from the 25 % mark, or the last ``size`` if that
     runs over the end. ``head``: the first ``size`` characters, newlines as spaces.
     """
     if strategy == "head":
-        return F.translate(F.substring(text, 1, size), "\n", " ")
+        return F.translate(text if size is None else F.substring(text, 1, size), "\n", " ")
     if strategy != "quarter":
         raise ValueError(f"unknown sampling strategy {strategy!r}; use quarter or head")
+    if size is None:
+        return text
     n = F.length(text)
     start = F.least(F.floor(n / 4).cast("int"), n - F.lit(size)) + F.lit(1)
     return F.when(n > size, F.substring(text, start, F.lit(size))).otherwise(text)
@@ -76,6 +78,6 @@ def model_scorer(load, predict):
 SCORERS = scorer_registry(stopword=stopword_scorer)
 
 
-def predict(text: Column, scorer: str = "stopword", size: int = 1000, strategy: str = "quarter") -> Column:
-    """struct<label, score> for each text."""
+def predict(text: Column, scorer: str = "stopword", size: int | None = None, strategy: str = "quarter") -> Column:
+    """struct<label, score> for each text, from the whole of it unless ``size`` says less."""
     return SCORERS[scorer](model_text(sample(text, size, strategy)))

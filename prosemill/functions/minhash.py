@@ -1,7 +1,7 @@
-"""MinHash signatures and LSH bands as Arrow UDFs."""
+"""MinHash signatures and LSH bands: shingles and their hashes in the JVM, minima over the
+permutations in Arrow UDFs that see hashes only."""
 
 import hashlib
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import shingles
+
 # Hash families: how a shingle becomes an integer h, and how permutation i maps it.
 #   sha1: h = first 4 bytes (little-endian) of SHA-1;
 #         ((a*h + b) mod 2^64 mod (2^61 - 1)) mod 2^32, a and b drawn by a seeded generator
@@ -60,26 +62,24 @@ def coefficients(family: str, num_perm: int, seed: int) -> tuple[np.ndarray, np.
     raise ValueError(f"unknown hash family {family!r}; use one of {FAMILIES}")
 
 
-_NOT_WORD = re.compile(r"[^\w\s]")
-
-
-def shingle_set(text: str, size: int) -> set[str]:
-    """Distinct word n-grams; see :func:`prosemill.functions.text.shingles`."""
-    text = _NOT_WORD.sub("", text.lower())
-    words = text.split()
-    if len(words) < size:
-        return {text} if text else set()
-    return {" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
+def shingle_hashes(text: F.Column, ngram: int = 5, family: str = "sha1") -> F.Column:
+    """Hash h of every distinct shingle of a text column, as array<bigint>."""
+    if family == "sha1":
+        def base(gram):
+            digest = F.sha1(gram)
+            return F.conv(F.concat(*(F.substring(digest, i, 2) for i in (7, 5, 3, 1))), 16, 10).cast("bigint")
+    elif family == "md5":
+        def base(gram):
+            return F.conv(F.substring(F.md5(gram), 1, 7), 16, 10).cast("bigint")
+    else:
+        raise ValueError(f"unknown hash family {family!r}; use one of {FAMILIES}")
+    return F.transform(shingles(text, ngram), base)
 
 
-def signature(grams: set[str], family: str, num_perm: int, seed: int, chunk: int = 256) -> np.ndarray:
-    """Minimum of every permutation over the shingles, a cache-sized chunk at a time."""
+def signature(base: np.ndarray, family: str, num_perm: int, seed: int, chunk: int = 256) -> np.ndarray:
+    """Minimum of every permutation over the hashes, a cache-sized chunk at a time."""
     a, b = coefficients(family, num_perm, seed)
-    if family == "sha1":
-        raw = b"".join(hashlib.sha1(g.encode()).digest()[:4] for g in grams)
-        base = np.frombuffer(raw, dtype="<u4").astype(np.uint64)
-    else:
-        base = np.array([int(hashlib.md5(g.encode()).hexdigest()[:7], 16) for g in grams], dtype=np.int64)
+    base = base.astype(np.uint64 if family == "sha1" else np.int64)
     lows = []
     for i in range(0, len(base), chunk):
         x = base[i : i + chunk, None] * a
@@ -98,18 +98,21 @@ def signature(grams: set[str], family: str, num_perm: int, seed: int, chunk: int
     return np.min(lows, axis=0)
 
 
-def _signatures(texts: pa.Array, num_perm, ngram, seed, family):
-    for text in texts.to_pylist():
-        grams = shingle_set(text, ngram) if text else set()
-        yield signature(grams, family, num_perm, seed) if grams else None
+def _signatures(hashes: pa.Array, num_perm, seed, family):
+    values = hashes.values.to_numpy(zero_copy_only=False)
+    ends = hashes.offsets.to_numpy()
+    for i in range(len(hashes)):
+        own = values[ends[i]:ends[i + 1]] if hashes[i].is_valid else ()
+        yield signature(own, family, num_perm, seed) if len(own) else None
 
 
-def minhash(num_perm: int = 128, ngram: int = 5, seed: int = 42, family: str = "sha1"):
-    """UDF text -> array<bigint>; null for a text without shingles."""
+def minhash(num_perm: int = 128, seed: int = 42, family: str = "sha1"):
+    """UDF shingle hashes -> signature, array<bigint>; null without hashes. The hashes have to
+    be a column of their own (see :func:`shingle_hashes`)."""
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
-    def udf(texts: pa.Array) -> pa.Array:
-        sigs = _signatures(texts, num_perm, ngram, seed, family)
+    def udf(hashes: pa.Array) -> pa.Array:
+        sigs = _signatures(hashes, num_perm, seed, family)
         return pa.array([None if s is None else s.tolist() for s in sigs], pa.list_(pa.int64()))
 
     return udf.asNondeterministic()
@@ -124,12 +127,12 @@ def bucket_keys(sig: np.ndarray, bands: int, rows: int) -> list[bytes]:
     ]
 
 
-def lsh_bands(bands: int, rows: int, num_perm: int = 128, ngram: int = 5, seed: int = 42, family: str = "sha1"):
-    """UDF text -> array<binary> of bucket keys; empty for a text without shingles."""
+def lsh_bands(bands: int, rows: int, num_perm: int = 128, seed: int = 42, family: str = "sha1"):
+    """UDF shingle hashes -> bucket keys, array<binary>; empty without hashes."""
 
     @F.arrow_udf(T.ArrayType(T.BinaryType()))
-    def udf(texts: pa.Array) -> pa.Array:
-        sigs = _signatures(texts, num_perm, ngram, seed, family)
+    def udf(hashes: pa.Array) -> pa.Array:
+        sigs = _signatures(hashes, num_perm, seed, family)
         keys = [[] if s is None else bucket_keys(s, bands, rows) for s in sigs]
         return pa.array(keys, pa.list_(pa.binary()))
 

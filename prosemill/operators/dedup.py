@@ -9,13 +9,13 @@ aggregations and joins over narrow (document, bucket) rows instead of one by one
 import warnings
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.minhash import best_bands, lsh_bands
-from ..sources.storage import stage
+from ..functions.minhash import best_bands, lsh_bands, shingle_hashes
+from ..sources.storage import stage, stage_bucketed
+from .ingest import computed_once
 from .joins import hot_keys, join_by_key
 
 
@@ -26,7 +26,6 @@ class DedupConfig:
     threshold: float = 0.85
     ngram_size: int = 5
     seed: int = 42
-    max_items: int | None = None  # kept documents after which the rest passes unchecked
     family: str = "sha1"
 
     def __post_init__(self):
@@ -38,15 +37,19 @@ class DedupConfig:
     def bands(self) -> tuple[int, int]:
         return best_bands(self.threshold, self.num_perm)
 
-    def bucket_udf(self):
-        return lsh_bands(*self.bands(), self.num_perm, self.ngram_size, self.seed, self.family)
+    def with_buckets(self, df: DataFrame) -> DataFrame:
+        """``df`` with the bucket keys of its texts. Python sees hashes only, no text."""
+        hashed = computed_once(df, _hashes=shingle_hashes(F.col("text"), self.ngram_size, self.family))
+        keys = lsh_bands(*self.bands(), self.num_perm, self.seed, self.family)
+        return hashed.withColumn("buckets", keys("_hashes")).drop("_hashes")
 
 
 # ---------------------------------------------------------------------------- exact
 
 
 def dedup_exact(df: DataFrame, order_by, id_col: str = "doc_id") -> DataFrame:
-    """One row per id: the first in ``order_by`` order, remaining columns break ties.
+    """One row per id: the first in ``order_by`` order; a hash of the remaining columns
+    breaks ties, so that no text is a sort key.
 
     Each map task already reduces an id to one row (the group limit below the
     shuffle), so an id that holds a third of all rows costs its reducer one row per
@@ -55,7 +58,7 @@ def dedup_exact(df: DataFrame, order_by, id_col: str = "doc_id") -> DataFrame:
     if id_col not in df.columns:
         return df
     rest = [c for c in df.columns if c not in {id_col, *order_by} and _orderable(df, c)]
-    first = Window.partitionBy(id_col).orderBy(*([*order_by, *rest] or [id_col]))
+    first = Window.partitionBy(id_col).orderBy(*order_by, F.xxhash64(*rest) if rest else id_col)
     return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 
@@ -66,10 +69,6 @@ def _orderable(df: DataFrame, name: str) -> bool:
 # ------------------------------------------------------------------- greedy in rounds
 
 
-#: after so many rounds, a remainder of at most so many rows is settled in one go
-SERIAL_AFTER, SERIAL_ROWS = 20, 500_000
-
-
 def shared_members(members: DataFrame) -> DataFrame:
     """The rows of ``members`` (distinct document, ``bucket`` pairs, materialised) whose
     bucket has more than one document; materialised. The others can hit nothing.
@@ -82,7 +81,7 @@ def shared_members(members: DataFrame) -> DataFrame:
     return stage(join_by_key(members, counts.select("bucket"), "bucket", hot, "left_semi"), "conflicts")
 
 
-def first_wins(members: DataFrame, serial_after: int = SERIAL_AFTER) -> DataFrame:
+def first_wins(members: DataFrame) -> DataFrame:
     """Greedy keep-first over buckets: one ``doc`` per dropped document.
 
     ``members`` holds distinct (``doc``, ``bucket``) rows, ``doc`` being the unique
@@ -90,52 +89,30 @@ def first_wins(members: DataFrame, serial_after: int = SERIAL_AFTER) -> DataFram
 
     A round keeps every document that is first in all its buckets, drops the others
     in those buckets, and goes on with the rest. It settles at least the first open
-    document, so the rounds end; most collections need one or two. A long chain of
-    overlapping documents needs a round per two links: after ``serial_after`` rounds a
-    remainder of checked, small size is settled document by document in one task.
+    document, so the rounds end; most collections need one or two. With documents in the
+    order of a hash a chain of n overlapping documents falls apart into runs of a few, and
+    rounds grow about as the logarithm of n; an order that follows a chain costs a round per
+    two links. Each round is one written table of both the decided and the open rows.
     """
     dropped = members.select("doc").limit(0)
-    rounds = 0
     while total := members.count():
-        if rounds >= serial_after and total <= SERIAL_ROWS:
-            return dropped.unionByName(stage(_settle_serially(members), "rest"))
-        settled = stage(_settle_round(members, total), "settled")
-        dropped = dropped.unionByName(settled.where("not kept").select("doc"))
-        members = stage(members.join(settled, "doc", "left_anti"), "open")
-        rounds += 1
+        marked = stage(_settle_round(members, total), "round")
+        dropped = dropped.unionByName(marked.where("not kept").select("doc").distinct())
+        members = marked.where("kept IS NULL").drop("kept")
     return dropped
 
 
 def _settle_round(members: DataFrame, total: int) -> DataFrame:
-    """``doc, kept`` for the documents that one round decides."""
-    heads = stage(
-        members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc").alias("first")), "heads")
+    """The members with ``kept``: true or false for documents that a round decides, else null."""
+    heads = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
     degree = members.groupBy("doc").agg(F.count("*").alias("degree"))
     wins = heads.groupBy(F.col("first").alias("doc")).agg(F.count("*").alias("wins"))
     kept = wins.join(degree, "doc").where("wins = degree").select("doc")
     # a bucket is closed once its first document is kept: the others are near copies
     closed = heads.join(kept, F.col("first") == F.col("doc"), "left_semi").select("bucket", "first")
     decided = join_by_key(members, closed, "bucket", hot_keys(heads, "bucket", "n", total))
-    return decided.groupBy("doc").agg(F.max(F.col("doc") == F.col("first")).alias("kept"))
-
-
-def _settle_serially(members: DataFrame) -> DataFrame:
-    """Dropped documents of a small remainder: one pass in order over the documents."""
-    docs = members.groupBy("doc").agg(F.collect_list("bucket").alias("buckets"))
-
-    def walk(batches):
-        held = set()
-        for batch in batches:
-            out = []
-            for buckets in batch.column("buckets").to_pylist():
-                hit = not held.isdisjoint(buckets)
-                out.append(hit)
-                if not hit:
-                    held.update(buckets)
-            yield batch.select(["doc"]).filter(pa.array(out, pa.bool_()))
-
-    in_order = docs.repartition(1).sortWithinPartitions("doc")
-    return in_order.mapInArrow(walk, members.select("doc").schema)
+    decided = decided.groupBy("doc").agg(F.max(F.col("doc") == F.col("first")).alias("kept"))
+    return members.join(decided, "doc", "left").select("doc", "bucket", "kept")
 
 
 def kept_match(conflicts: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -164,7 +141,7 @@ def order_key(order_by, id_col: str) -> F.Column:
 def band_table(df: DataFrame, order_by, cfg: DedupConfig, id_col: str = "doc_id") -> DataFrame:
     """Materialised id, order columns and ``buckets``, one narrow row per document."""
     names = dict.fromkeys([*order_by, id_col])
-    return stage(df.select(*names, cfg.bucket_udf()("text").alias("buckets")), "bands")
+    return stage(cfg.with_buckets(df.select(*dict.fromkeys([*names, "text"]))).select(*names, "buckets"), "bands")
 
 
 def conflicts_of(bands: DataFrame, order_by, id_col: str) -> DataFrame:
@@ -181,20 +158,8 @@ def conflicts_of(bands: DataFrame, order_by, id_col: str) -> DataFrame:
     return stage(conflicts.withColumnRenamed("doc", "id").join(keys, "id").select("doc", "bucket"), "keyed")
 
 
-def _dropped(bands: DataFrame, order_by, cfg: DedupConfig, id_col: str) -> DataFrame:
-    dropped = first_wins(conflicts_of(bands, order_by, id_col))
-    if cfg.max_items is None:
-        return dropped
-    indexed = bands.where(F.size("buckets") > 0).select(order_key(order_by, id_col).alias("doc"))
-    return _within_capacity(dropped, indexed, cfg.max_items)
-
-
-def _within_capacity(dropped: DataFrame, indexed: DataFrame, max_items: int) -> DataFrame:
-    """Dropped documents up to the ``max_items``-th kept and indexed one; later ones pass."""
-    first_kept = indexed.join(dropped, "doc", "left_anti").orderBy("doc").limit(max_items)
-    # null while there are fewer kept documents than that
-    last = first_kept.agg(F.when(F.count("*") == max_items, F.max("doc")))
-    return dropped.where(F.coalesce(F.col("doc") <= last.scalar(), F.lit(True)))
+def _dropped(bands: DataFrame, order_by, id_col: str) -> DataFrame:
+    return first_wins(conflicts_of(bands, order_by, id_col))
 
 
 def _without(df: DataFrame, dropped: DataFrame, order_by, id_col: str) -> DataFrame:
@@ -212,7 +177,7 @@ def dedup_fuzzy(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_co
     if "text" not in df.columns:
         return df
     bands = band_table(df, order_by, cfg, id_col)
-    return _without(df, _dropped(bands, order_by, cfg, id_col), order_by, id_col)
+    return _without(df, _dropped(bands, order_by, id_col), order_by, id_col)
 
 
 def near_dup_matches(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
@@ -222,13 +187,14 @@ def near_dup_matches(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(),
 
 
 def dedup(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
-    """Exact, then fuzzy. The survivors of the first step are written once together
-    with their bucket keys; the rounds then read only the narrow columns.
+    """Exact, then fuzzy. The survivors of the first step are written once, together with
+    their bucket keys and bucketed by the id as they lie; the rounds read only the narrow
+    columns, and the last join moves only ids. So texts are shuffled once.
     """
     if not cfg.enabled:
         return df
     unique = dedup_exact(df, order_by, id_col)
     if not {"text", id_col} <= set(df.columns):
         return unique
-    unique = stage(unique.withColumn("buckets", cfg.bucket_udf()("text")), "unique")
-    return _without(unique.drop("buckets"), _dropped(unique, order_by, cfg, id_col), order_by, id_col)
+    unique = stage_bucketed(cfg.with_buckets(unique), id_col, "unique")
+    return _without(unique.drop("buckets"), _dropped(unique, order_by, id_col), order_by, id_col)

@@ -30,8 +30,8 @@ def join_by_key(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, how
     return of_hot.unionByName(of_rest)
 
 
-def int_median(df: DataFrame, by: str, value: str, step: int = 4096) -> DataFrame:
-    """Exact median of a non-negative integer column per group, in two levels.
+def int_median(df: DataFrame, by: str, value: str, step: float = 4096) -> DataFrame:
+    """Exact median of a numeric column per group, in two levels.
 
     Values are counted first; a cumulative count over blocks of ``step`` values finds
     the block of each middle rank, and a second one inside that block the value. No

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import batch_scorer, scorer_registry
 from ..sources.storage import stage
-from .joins import hot_keys, join_by_key
+from .ingest import computed_once
+from .joins import hot_keys, int_median, join_by_key
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,7 @@ class Windows:
 
 def words(text: Column) -> Column:
     """Whitespace tokens; an empty array for a blank text."""
-    return F.regexp_extract_all(text, F.lit(r"(?U)\S+"), F.lit(0))
+    return F.array_remove(F.split(text, r"(?U)\s+"), "")
 
 
 def perplexity_windows(df: DataFrame, windows: Windows = Windows(), id_col: str = "doc_id") -> DataFrame:
@@ -58,28 +59,24 @@ def perplexity_windows(df: DataFrame, windows: Windows = Windows(), id_col: str
 
 
 def bigrams(df: DataFrame, windows: Windows, id_col: str) -> DataFrame:
-    """``doc, window, gram, first``: one row per scored word, with its predecessor.
-    The first word of a document has none and is not scored.
-    """
-    pairs = F.greatest(F.size("w") - 1, F.lit(0))
-    zipped = F.arrays_zip(F.slice("w", 1, pairs).alias("first"), F.slice("w", 2, pairs).alias("second"))
-    rows = (
-        df.select(F.col(id_col).alias("doc"), words(F.col("text")).alias("w"))
-        .select("doc", F.posexplode(zipped).alias("pos", "pair")))
+    """``doc, window, first, gram``: one row per word with its predecessor in its window; the
+    first word of a document has neither predecessor nor window and is not scored."""
+    w = words(F.col("text"))
+    rows = computed_once(df.select(F.col(id_col).alias("doc"), "text"), w=w).select("doc", F.posexplode(
+        F.zip_with(F.concat(F.array(F.lit(None).cast("string")), "w"), "w", lambda a, b: F.struct(
+            a.alias("first"), b.alias("second")))).alias("pos", "pair")).where("pair.second IS NOT NULL")
     return rows.select(
-        "doc", windows.of(F.col("pos") + 1).alias("window"),
-        F.concat_ws(" ", "pair.first", "pair.second").alias("gram"), F.col("pair.first").alias("first"))
-
-
-def vocabulary_size(df: DataFrame) -> int:
-    """Distinct words."""
-    return df.select(F.explode(words(F.col("text"))).alias("w")).distinct().count()
+        "doc", F.when(F.col("pos") > 0, windows.of(F.col("pos"))).alias("window"), F.col("pair.first").alias("first"),
+        F.concat_ws(" ", "pair.first", "pair.second").alias("gram"))
 
 
-def bigram_model(pairs: DataFrame, vocabulary: int, k: float) -> DataFrame:
-    """``gram, n, loss`` with add-k smoothing from bigrams; counting combines on the map
-    side, so the corpus itself does not shuffle."""
-    grams = stage(pairs.groupBy("gram", "first").agg(F.count("*").alias("n")), "grams")
+def bigram_model(pairs: DataFrame, k: float) -> DataFrame:
+    """``gram, n, loss`` with add-k smoothing from staged bigrams. Counting combines on the
+    map side, so the corpus itself does not shuffle; every word is the second of some row,
+    so the vocabulary comes from the counts."""
+    counts = stage(pairs.groupBy("gram", "first").agg(F.count("*").alias("n")), "grams")
+    vocabulary = counts.select(F.substring_index("gram", " ", -1).alias("w")).distinct().count()
+    grams = counts.where("first IS NOT NULL")
     contexts = stage(grams.groupBy("first").agg(
         F.sum("n").alias("first_n"), F.count("*").alias("grams")), "contexts")
     known = join_by_key(
@@ -97,15 +94,17 @@ def perplexity(
     ``scored`` names the documents to score, a part of ``df``; the model always sees
     all. A document with nothing to score has a NaN perplexity. ``weighted`` weighs
     windows by their scored tokens; without it a short last window counts like a full
-    one.
+    one. Texts are cut into words once; model, vocabulary and scores read the staged bigrams.
     """
-    model = stage(bigram_model(bigrams(df, windows, id_col), vocabulary_size(df), k), "model")
+    pairs = stage(bigrams(df, windows, id_col), "pairs")
+    model = stage(bigram_model(pairs, k), "model")
     docs = df if scored is None else df.join(scored.select(id_col), id_col, "left_semi")
+    own = pairs if scored is None else pairs.join(scored.select(F.col(id_col).alias("doc")), "doc", "left_semi")
     total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # every bigram is in the model; a left join keeps the many rows of the left side,
     # whose size the optimizer underestimates, from being broadcast
     losses = join_by_key(
-        bigrams(docs, windows, id_col).drop("first"), model.select("gram", "loss"), "gram",
+        own.where("window IS NOT NULL").select("doc", "window", "gram"), model.select("gram", "loss"), "gram",
         hot_keys(model, "gram", "n", total), "left")
     by_window = losses.groupBy("doc", "window").agg(F.sum("loss").alias("loss"), F.count("*").alias("tokens"))
     mean = F.sum("loss") / F.sum("tokens") if weighted else F.avg(F.col("loss") / F.col("tokens"))
@@ -129,19 +128,19 @@ SCORERS = scorer_registry()
 
 
 def perplexity_stats(scores: DataFrame, by: str = "side") -> DataFrame:
-    """Mean, exact median and number of scored documents, for scores of a sample.
-
-    The exact median holds one group's distinct values in a task, so pass the scores
-    of a sample of bounded size; NaN scores are left out.
-    """
-    scores = scores.where(~F.isnan("perplexity"))
-    return scores.groupBy(by).agg(
-        F.count("*").alias("docs"), F.avg("perplexity").alias("mean"), F.median("perplexity").alias("median"))
+    """Documents, unscored ones among them, mean and exact median of the scores. The median
+    is found in two levels of counts, so no task holds the values of a group."""
+    value = F.when(~F.isnan("perplexity"), F.col("perplexity"))
+    counted = scores.groupBy(by).agg(
+        F.count("*").alias("docs"), F.count_if(value.isNull()).alias("unscored"), F.avg(value).alias("mean"))
+    middle = int_median(scores.select(by, value.alias("value")), by, "value", step=1 / 64)
+    return counted.join(middle, by, "left")
 
 
 def perplexity_histogram(scores: DataFrame, by: str = "side", bins: int = 49, top: float = 500.0) -> DataFrame:
-    """Documents per linear bin on [0, top]; the last bin includes its right edge."""
+    """Documents per linear bin on [0, top]; the last bin includes its right edge. Bin
+    ``bins`` holds those above, bin -1 unscored ones, so bins sum up to the documents."""
     value = F.col("perplexity")
-    bin_no = F.when(value == top, bins - 1).otherwise(F.width_bucket(value, F.lit(0.0), F.lit(top), F.lit(bins)) - 1)
-    inside = scores.where(~F.isnan(value) & (value >= 0) & (value <= top))
-    return inside.groupBy(by, bin_no.cast("bigint").alias("bin")).agg(F.count("*").alias("docs"))
+    bin_no = (F.when(F.isnan(value) | value.isNull(), -1).when(value == top, bins - 1).when(value > top, bins)
+              .otherwise(F.width_bucket(value, F.lit(0.0), F.lit(top), F.lit(bins)) - 1))
+    return scores.groupBy(by, bin_no.cast("bigint").alias("bin")).agg(F.count("*").alias("docs"))

@@ -16,7 +16,7 @@ class FilterConfig:
     enabled: bool = True
     target_language: str = "__label__en"
     min_lang_score: float = 0.65
-    sample_chars_for_langid: int = 1000
+    sample_chars_for_langid: int | None = None  # the whole text
     language_scorer: str = "stopword"
     max_punc_ratio: float = 0.3
     enable_pii: bool = True

@@ -60,24 +60,26 @@ def log_edges(last_power: int, bins: int = 24) -> list[float]:
 
 
 def bin_of(value: Column, edges: list[float]) -> Column:
-    """Bin number from 0; null outside; bins are left-closed, the last one closed.
+    """Bin number from 0; -1 below and the number of bins above; bins are left-closed, the
+    last one closed. A null counts as below.
 
     Compared with the edges themselves, so rounding of a logarithm plays no role.
     """
     at_or_above = F.aggregate(
         F.array(*map(F.lit, edges)), F.lit(0), lambda n, edge: n + (value >= edge).cast("int"))
     last = len(edges) - 2
-    return F.when((value >= edges[0]) & (value <= edges[-1]), F.least(at_or_above - 1, F.lit(last)))
+    inside = F.least(at_or_above - 1, F.lit(last))
+    return F.when(value > edges[-1], F.lit(last + 1)).when(value >= edges[0], inside).otherwise(F.lit(-1))
 
 
 def length_histogram_log(df: DataFrame) -> DataFrame:
-    """Documents per log-spaced bin: characters 10..10^5, words 10..10^4."""
+    """Documents per log-spaced bin: characters 10..10^5, words 10..10^4. Bins of a unit sum
+    up to the documents: those outside the range are in the bins before and after it."""
     sized = with_lengths(df).select(SIDE, F.explode(F.array(
         F.struct(F.lit("chars").alias("unit"), bin_of(F.col("char_count"), log_edges(5)).alias("bin")),
         F.struct(F.lit("words").alias("unit"), bin_of(F.col("word_count"), log_edges(4)).alias("bin")),
     )).alias("b"))
-    return sized.select(SIDE, "b.unit", F.col("b.bin").cast("bigint").alias("bin")).where(
-        "bin IS NOT NULL").groupBy(SIDE, "unit", "bin").agg(F.count("*").alias("docs"))
+    return sized.select(SIDE, "b.unit", F.col("b.bin").cast("bigint").alias("bin")).groupBy(SIDE, "unit", "bin").agg(F.count("*").alias("docs"))
 
 
 # -------------------------------------------------------------------------- integrity
@@ -165,8 +167,8 @@ def toxicity_scores(df: DataFrame, scorer: str = "lexicon", threshold: float = 0
 # --------------------------------------------------------------------------- language
 
 
-def with_label(df: DataFrame, scorer: str = "stopword", size: int = 1000) -> DataFrame:
-    """Add ``lang_label`` without prefix, predicted on the first characters."""
+def with_label(df: DataFrame, scorer: str = "stopword", size: int | None = None) -> DataFrame:
+    """Add ``lang_label`` without prefix, predicted on the whole text or the first characters."""
     found = language.predict(F.col("text"), scorer, size, "head")
     return df.withColumn("lang_label", language.strip_label(found["label"]))
 

@@ -12,11 +12,14 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ingest import computed_once
 from ..sources.tokens import checked_format, write_tokens
 
 log = logging.getLogger("prosemill")
 
 FALLBACK_ENCODING = "gpt2"
+#: built-in tokenizer: white-space words, whose ids are the first 28 bits of their MD5
+WORDS = "words"
 LONG_DOCUMENT = 100_000
 _NO_IDS = np.array([], dtype=np.uint32)
 SPECIALS = ("error_empty", "as_text")
@@ -82,7 +85,7 @@ def encode_udf(cfg: TokenizeConfig):
                 errors.append(None)
             except Exception as err:
                 ids.append(_NO_IDS)
-                errors.append(f"{type(err).__name__}: {err}"[:200])
+                errors.append(f"{type(err).__name__}: {err}")
         ends = np.cumsum([0, *map(len, ids)])
         flat = np.concatenate([_NO_IDS, *ids]).astype(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
@@ -91,6 +94,25 @@ def encode_udf(cfg: TokenizeConfig):
     return encode.asNondeterministic()
 
 
+def word_ids(text: Column) -> Column:
+    """struct<ids, error> like ``encode_udf``, from the words of a text, in the JVM."""
+    found = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), "")
+    ids = F.transform(found, lambda w: F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("bigint"))
+    return F.struct(ids.alias("ids"), F.lit(None).cast("string").alias("error"))
+
+
+def decode_udf(cfg: TokenizeConfig):
+    """UDF ids -> text, for the encodings that ``encode_udf`` knows."""
+    model, ranks_path = cfg.tokenizer_model, cfg.ranks_path
+
+    @F.arrow_udf("string")
+    def decode(ids: pa.Array) -> pa.Array:
+        enc = encoder(model, ranks_path)
+        return pa.array([None if x is None else enc.decode(x) for x in ids.to_pylist()], pa.string())
+
+    return decode.asNondeterministic()
+
+
 def truncate(ids: Column, max_length: int | None) -> Column:
     """The first ``max_length`` items; None or 0 keeps all."""
     return F.slice(ids, 1, max_length) if max_length else ids
@@ -102,11 +124,12 @@ def tokenize(df: DataFrame, cfg: TokenizeConfig = TokenizeConfig(), metrics=None
 
     ``metrics`` is an ``Observation``; it receives the numbers of documents that are
     empty, very long (both before truncation) or failed, without a second pass.
-    Without ``text`` the result is empty.
+    Without ``text`` the result is empty, with the same columns.
     """
     if "text" not in df.columns:
-        return df.limit(0)
-    encoded = df.withColumn("_tok", encode_udf(cfg)("text"))
+        df = df.limit(0).withColumn("text", F.lit(None).cast("string"))
+    encode = word_ids(F.col("text")) if cfg.tokenizer_model == WORDS else encode_udf(cfg)("text")
+    encoded = computed_once(df, _tok=encode)
     if metrics is not None:
         encoded = encoded.observe(metrics, *anomaly_counts(F.col("_tok.ids"), F.col("_tok.error")))
     encoded = encoded.withColumn("input_ids", truncate(F.col("_tok.ids"), cfg.max_length))

@@ -1,15 +1,24 @@
 """Configuration of a whole run, from YAML or a dictionary."""
 
+import warnings
 from dataclasses import dataclass, field, fields
 from pathlib import Path
 
+from ..functions import language
+
 from ..operators.dedup import DedupConfig
 from ..operators.ingest import IngestConfig
 from ..operators.quality import FilterConfig
 from ..operators.tokenize import TokenizeConfig
 
 # configuration keys that have another name in the dataclasses
-_RENAMED = {"max_lsh_items": "max_items", "add_special_tokens": "parse_special"}
+_RENAMED = {"add_special_tokens": "parse_special"}
+# keys that other implementations need and this one has no use for, with the reason
+_WITHOUT_EFFECT = {
+    "max_lsh_items": "every document is compared, however many there are",
+    "batch_size": "Spark sizes its batches", "num_workers": "the cluster has its own number",
+    "num_proc": "the cluster has its own number", "scheduler": "Spark schedules",
+}
 
 
 @dataclass(frozen=True)
@@ -21,14 +30,17 @@ class RunConfig:
     output_file: str = "data/processed/cleaned_dataset.jsonl"
     processed_dir: str = "data/processed/tokenized/"
     compute_counts: bool = True
-    single_file: bool = False  # merge the cleaned export into one file, if its size allows
-    order_by: tuple = ("source", "url")  # document order for keep-first; the id breaks ties
+    single_file: bool = False  # merge the cleaned export into one file
+    order_by: tuple = ()  # document order for keep-first, if not that of the content ids
+    fail_on_malformed: bool = False  # stop if a line of the input is no JSON; else count it
 
 
 def _section(cls, values: dict | None):
-    """The dataclass from its section; keys it does not know are ignored."""
+    """The dataclass from its section; warns of keys that have no effect."""
     known = {f.name for f in fields(cls)}
     values = {_RENAMED.get(k, k): v for k, v in (values or {}).items()}
+    for key in sorted(set(values) - known):
+        warnings.warn(f"{key} has no effect: {_WITHOUT_EFFECT.get(key, 'unknown key')}")
     return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in values.items() if k in known})
 
 
@@ -37,10 +49,21 @@ def from_dict(values: dict) -> RunConfig:
     if not ingestion.input_path:
         raise ValueError("the ingestion section needs an input_path")
     paths = values.get("paths") or {}
-    own = ("compute_counts", "single_file", "order_by")
+    own = ("compute_counts", "single_file", "order_by", "fail_on_malformed")
+    sections = ("ingestion", "filtering", "deduplication", "tokenization", "paths")
+    for key in sorted(set(values) - {*own, *sections}):
+        warnings.warn(f"{key} has no effect: unknown key")
+    filtering = dict(values.get("filtering") or {})
+    model = filtering.pop("language_model_path", None)
+    if model and filtering.get("language_scorer", "stopword") == "stopword":
+        raise ValueError(
+            f"no scorer is named for the language model {model}: register one with "
+            "language.SCORERS.register and name it as language_scorer")
+    if filtering.get("language_scorer", "stopword") not in language.SCORERS:
+        raise ValueError(f"language_scorer {filtering['language_scorer']!r} is not registered")
     return RunConfig(
         ingestion=ingestion,
-        filtering=_section(FilterConfig, values.get("filtering")),
+        filtering=_section(FilterConfig, filtering),
         deduplication=_section(DedupConfig, values.get("deduplication")),
         tokenization=_section(TokenizeConfig, values.get("tokenization")),
         **{k: paths[k] for k in ("output_file", "processed_dir") if k in paths},

@@ -6,8 +6,9 @@ from ..functions import minhash as M
 from ..functions import text as X
 from ..operators import dedup as D
 from ..operators import tokenize as T
-from ..operators.ingest import IngestConfig
+from ..operators.ingest import IngestConfig, computed_once
 from ..operators.perplexity import words
+from ..operators.quality import FilterConfig
 from ..operators.report import retention as with_retention
 from ..operators.report import stage_funnel as funnel
 from ..sources import jsonl as J
@@ -16,7 +17,7 @@ from ..sources.tokens import write_tokens
 from ..streaming.dedup_stream import dedup_exact_stream as stream_dedup
 from ..streaming.dedup_stream import run_available
 from . import oracle_sql as S
-from .config import RunConfig
+from .config import RunConfig, from_dict
 from .corpus_run import prepare
 from .registry import documents, query, table
 from .row_queries import CHECKS, filtered_sql
@@ -146,8 +147,8 @@ def shingles(spark, sf_dir):
     SELECT doc_id, string_agg(value::varchar, ',' ORDER BY i) AS signature
     FROM ({S.signatures('documents')}) GROUP BY doc_id""")
 def minhash_signature(spark, sf_dir):
-    udf = M.minhash(family="md5")
-    return documents(spark, sf_dir).select("doc_id", udf("text").alias("s")).where("s IS NOT NULL").select(
+    hashed = computed_once(documents(spark, sf_dir), h=M.shingle_hashes(F.col("text"), family="md5"))
+    return hashed.select("doc_id", M.minhash(family="md5")("h").alias("s")).where("s IS NOT NULL").select(
         "doc_id", F.array_join(F.col("s").cast("array<string>"), ",").alias("signature"))
 
 
@@ -182,20 +183,30 @@ def dedup_fuzzy_loose(spark, sf_dir):
     return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"], LOOSE).select("doc_id")
 
 
-@query("dedup_fuzzy_sha1")
+@query("dedup_fuzzy_sha1", _fuzzy_sql(family="sha1"))
 def dedup_fuzzy_sha1(spark, sf_dir):
     """With the default hash family."""
     return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"]).select("doc_id")
 
 
-@query("dedup_capacity", _fuzzy_sql(capacity=300))
+_LOOSE_SQL = {"bands": LOOSE.bands()[0], "rows": LOOSE.bands()[1], "num_perm": LOOSE.num_perm, "size": LOOSE.ngram_size}
+
+
+@query("dedup_capacity", _fuzzy_sql(**_LOOSE_SQL))
 def dedup_capacity(spark, sf_dir):
-    """After 300 kept documents the rest passes."""
-    return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"], D.DedupConfig(family="md5", max_items=300)).select("doc_id")
+    """A configured index capacity has no effect: all documents are compared."""
+    import warnings
+
+    section = {"max_lsh_items": 10, "family": LOOSE.family, "threshold": LOOSE.threshold,
+               "num_perm": LOOSE.num_perm, "ngram_size": LOOSE.ngram_size}
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        cfg = from_dict({"ingestion": {"input_path": "in"}, "deduplication": section}).deduplication
+    return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"], cfg).select("doc_id")
 
 
 @query("near_dup_pairs", f"""
-    WITH RECURSIVE uniq AS MATERIALIZED {_UNIQUE}, {S.walk('uniq')}
+    WITH RECURSIVE uniq AS MATERIALIZED {_UNIQUE}, {S.walk('uniq', **_LOOSE_SQL)}
     SELECT l.doc_id AS doc, min(k.doc_id) AS kept_doc
     FROM bucketed l JOIN bucketed k USING (bucket)
     WHERE l.doc_id IN (SELECT doc_id FROM seen WHERE NOT is_kept)
@@ -203,7 +214,7 @@ def dedup_capacity(spark, sf_dir):
     GROUP BY l.doc_id""")
 def near_dup_pairs(spark, sf_dir):
     """Each dropped document with the first kept one of a common bucket."""
-    return D.near_dup_matches(_unique(spark, sf_dir), ["doc_id"], MD5)
+    return D.near_dup_matches(_unique(spark, sf_dir), ["doc_id"], LOOSE)
 
 
 @query("dedup_empty_passthrough", "SELECT doc_id FROM documents")
@@ -236,27 +247,37 @@ def _ranks() -> str | None:
 
 
 def _tokens(spark, sf_dir, **options):
-    cfg = T.TokenizeConfig(ranks_path=_ranks(), max_length=2048, **options)
+    """Tokens of the built-in word tokenizer, which SQL can state."""
     docs = documents(spark, sf_dir, "doc_id", "text", "source")
-    return T.tokenize(docs, cfg)
+    return T.tokenize(docs, T.TokenizeConfig(tokenizer_model=T.WORDS, **options))
 
 
-@query("tokenize")
+@query("tokenize", "SELECT doc_id, text AS decoded, true AS counted FROM documents")
 def tokenize(spark, sf_dir):
-    return _tokens(spark, sf_dir).select(
-        "doc_id", "token_count", F.array_join(F.col("input_ids").cast("array<string>"), ",").alias("ids"))
+    """Byte-level ids of whole texts, decoded again."""
+    cfg = T.TokenizeConfig(ranks_path=_ranks(), special="as_text")
+    tokens = T.tokenize(documents(spark, sf_dir, "doc_id", "text", "source"), cfg)
+    return tokens.select("doc_id", T.decode_udf(cfg)("input_ids").alias("decoded"),
+                         (F.col("token_count") == F.size("input_ids")).alias("counted"))
 
 
-@query("token_projection")
+_WORDS = "list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')"
+_IDS = f"array_to_string(list_transform({_WORDS}, lambda x: {S.md5_int('x')}), ',')"
+
+
+@query("token_projection", f"SELECT doc_id, len({_WORDS})::bigint AS token_count, source, text FROM documents")
 def token_projection(spark, sf_dir):
     return _tokens(spark, sf_dir, keep_text=True).drop("input_ids")
 
 
 @query("token_anomalies", """
-    SELECT count(*) AS docs, count(*) FILTER (WHERE text = '') AS empty_docs, 0::bigint AS failed_docs FROM documents""")
+    SELECT count(*) AS docs, count(*) FILTER (WHERE lang = 'fr') AS empty_docs, count(*) FILTER (WHERE lang = 'de') AS failed_docs
+    FROM documents""")
 def token_anomalies(spark, sf_dir):
+    """French texts emptied, German ones with a special-token string, which fails them."""
     udf = T.encode_udf(T.TokenizeConfig(ranks_path=_ranks()))
-    counts = documents(spark, sf_dir).select(udf("text").alias("t")).agg(
+    text = F.when(F.col("lang") == "fr", "").when(F.col("lang") == "de", F.concat("text", F.lit(T.END_OF_TEXT))).otherwise(F.col("text"))
+    counts = documents(spark, sf_dir, "text", "lang").select(udf(text).alias("t")).agg(
         *T.anomaly_counts(F.col("t.ids"), F.col("t.error")))
     return counts.select("docs", "empty_docs", "failed_docs")
 
@@ -277,9 +298,6 @@ def token_specials(spark, sf_dir):
     return counts
 
 
-_WORDS = "list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')"
-
-
 @query("truncate_tokens", f"SELECT doc_id, array_to_string({_WORDS}[1:64], ' ') AS kept FROM documents")
 def truncate_tokens(spark, sf_dir):
     """Truncation, on whitespace words."""
@@ -297,24 +315,27 @@ def _written_tokens(spark, sf_dir, export_format):
     df = _tokens(spark, sf_dir)
     write_tokens(df, path, export_format)
     back = spark.read.parquet(path) if export_format == "parquet" else spark.read.schema(df.schema).json(path)
-    return back.select("doc_id", "token_count", "source", F.size("input_ids").cast("bigint").alias("ids"))
+    return back.select("doc_id", "token_count", "source", F.array_join(F.col("input_ids").cast("array<string>"), ",").alias("ids"))
+
+
+_WRITTEN = f"SELECT doc_id, len({_WORDS})::bigint AS token_count, source, {_IDS} AS ids FROM documents"
 
 
-@query("write_tokens_parquet")
+@query("write_tokens_parquet", _WRITTEN)
 def write_tokens_parquet(spark, sf_dir):
     return _written_tokens(spark, sf_dir, "parquet")
 
 
-@query("write_tokens_jsonl")
+@query("write_tokens_jsonl", _WRITTEN)
 def write_tokens_jsonl(spark, sf_dir):
     return _written_tokens(spark, sf_dir, "jsonl")
 
 
-@query("tokenization_step")
+@query("tokenization_step", f"SELECT doc_id, len({_WORDS})::bigint AS token_count, source FROM documents")
 def tokenization_step(spark, sf_dir):
     path = T.run_tokenization(
         documents(spark, sf_dir, "doc_id", "text", "source"),
-        T.TokenizeConfig(ranks_path=_ranks(), max_length=2048), scratch_path(spark, "step"))
+        T.TokenizeConfig(tokenizer_model=T.WORDS), scratch_path(spark, "step"))
     return spark.read.parquet(path).select("doc_id", "token_count", "source")
 
 
@@ -358,6 +379,21 @@ def stage_counts(spark, sf_dir):
     return _counts(spark, sf_dir)
 
 
+@query("ingest_malformed", f"""
+    SELECT (SELECT count(*) FROM conversations WHERE NOT json_valid(replace(text, chr(10), ' '))) AS malformed,
+           (SELECT count(*) FROM (SELECT {S.tidy('text')} AS t FROM documents) WHERE length(t) >= 100 AND NOT {S.is_code('t')}) AS ingested""")
+def ingest_malformed(spark, sf_dir):
+    """Documents as JSON lines among lines that are none: a run counts both."""
+    path, counts = scratch_path(spark, "mixed"), {}
+    docs = documents(spark, sf_dir, "text").select(F.to_json(F.struct("*")).alias("value"))
+    talk = table(spark, sf_dir, "conversations", "text").select(F.translate("text", "\n\r", "  ").alias("value"))
+    docs.unionByName(talk).write.text(path)
+    alone = RunConfig(ingestion=IngestConfig(input_path="in/corpus", id_method="md5"),
+                      filtering=FilterConfig(enabled=False), deduplication=D.DedupConfig(enabled=False))
+    prepare(J.read_jsonl(spark, path, with_corrupt=True), alone, counts)
+    return spark.range(1).select(*[F.lit(counts[k]).cast("bigint").alias(k) for k in ("malformed", "ingested")])
+
+
 @query("retention", f"""{_RUN_CTES}
     SELECT ingested, deduplicated, round(deduplicated * 100.0::double / ingested, 4) AS retention_pct FROM counts""")
 def retention(spark, sf_dir):

@@ -11,9 +11,9 @@ from ..operators.dedup import dedup
 from ..operators.ingest import ingest
 from ..operators.quality import quality_filter
 from ..operators.tokenize import run_tokenization
-from ..sources.jsonl import export_columns, read_jsonl, write_jsonl, write_jsonl_single
+from ..sources.jsonl import CORRUPT, export_columns, read_jsonl, write_jsonl, write_jsonl_single
 from ..sources.session import ship_package
-from ..sources.storage import output_bytes, release, spread, stage
+from ..sources.storage import output_bytes, release, size_shuffles, spread, stage
 from .config import RunConfig, load_config
 
 
@@ -35,9 +35,11 @@ class RunReport:
 def prepare(raw: DataFrame, cfg: RunConfig, counts: dict | None = None) -> DataFrame:
     """Raw records to deduplicated documents, materialised once.
 
-    ``counts`` receives the number of documents after each step. The first two are
-    observed while the one writing job runs; nothing is computed again to count it.
+    ``counts`` receives the number of documents after each step, and of malformed lines
+    where ``raw`` has them marked. These are observed while the one writing job runs;
+    nothing is computed again to count it.
     """
+    size_shuffles(raw)
     raw = spread(raw)
     watch = {}
 
@@ -47,6 +49,15 @@ def prepare(raw: DataFrame, cfg: RunConfig, counts: dict | None = None) -> DataF
         watch[name] = Observation(name)
         return df.observe(watch[name], F.count(F.lit(1)).alias("n"))
 
+    if CORRUPT in raw.columns:
+        bad = F.col(CORRUPT).isNotNull()
+        if cfg.fail_on_malformed:
+            text = F.when(bad, F.raise_error(F.concat(F.lit("malformed line: "), CORRUPT))).otherwise(F.col("text"))
+            raw = raw.withColumn("text", text)
+        elif counts is not None:
+            watch["malformed"] = Observation("malformed")
+            raw = raw.observe(watch["malformed"], F.count_if(bad).alias("n"))
+        raw = raw.drop(CORRUPT)
     docs = observed(ingest(raw, cfg.ingestion), "ingested")
     if cfg.filtering.enabled:
         docs = observed(quality_filter(docs, cfg.filtering), "filtered")
@@ -68,7 +79,7 @@ def run(spark: SparkSession, cfg: RunConfig, raw: DataFrame | None = None) -> Ru
     """
     ship_package(spark)
     if raw is None:
-        raw = read_jsonl(spark, cfg.ingestion.input_path)
+        raw = read_jsonl(spark, cfg.ingestion.input_path, with_corrupt=True)
     counts = {} if cfg.compute_counts else None
     report = RunReport(prepare(raw, cfg, counts), counts or {})
 

@@ -112,7 +112,11 @@ def model_text(text: str) -> str:
     return f"trim({rx(text, '\\s+', repr(' '))})"
 
 
-def language(source: str, sample=quarter, extra: str = "") -> str:
+def whole(text: str) -> str:
+    return text
+
+
+def language(source: str, sample=whole) -> str:
     """A query adding ``label`` and ``score`` to the rows of ``source`` (needs ``text``)."""
     langs = list(P.STOPWORDS)
     counts = ", ".join(f"{whole_words('m', P.STOPWORDS[x])} AS {x}" for x in langs)
@@ -164,8 +168,27 @@ def md5_int(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 7))::bigint"
 
 
-def signatures(source: str, num_perm: int = 128, size: int = 5, seed: int = 42) -> str:
+def sha1_int(text: str) -> str:
+    """The first four bytes of a SHA-1, little-endian."""
+    pairs = " || ".join(f"substr(sha1({text}), {i}, 2)" for i in (7, 5, 3, 1))
+    return f"('0x' || {pairs})::bigint"
+
+
+def sha1_signatures(source: str, num_perm: int = 128, size: int = 5, seed: int = 42) -> str:
+    """As ``signatures``, for the default hash family; products need 128 bits."""
+    from ..functions.minhash import coefficients
+
+    pairs = ", ".join(f"({i}, {a}::hugeint, {b}::hugeint)" for i, (a, b) in enumerate(zip(*coefficients("sha1", num_perm, seed))))
+    return f"""
+    SELECT doc_id, i, min(((a * h + b) % 18446744073709551616::hugeint % 2305843009213693951::hugeint) % 4294967296::hugeint)::bigint AS value
+    FROM (SELECT doc_id, {sha1_int('gram')}::hugeint AS h FROM ({shingles(source, size)})), (VALUES {pairs}) c(i, a, b)
+    GROUP BY doc_id, i"""
+
+
+def signatures(source: str, num_perm: int = 128, size: int = 5, seed: int = 42, family: str = "md5") -> str:
     """doc_id, i, value rows: minimum of permutation i over the shingles."""
+    if family == "sha1":
+        return sha1_signatures(source, num_perm, size, seed)
     return f"""
     SELECT doc_id, i, min((a * h + b) % 2147483647) AS value
     FROM (SELECT doc_id, {md5_int('gram')} AS h FROM ({shingles(source, size)})),
@@ -174,31 +197,27 @@ def signatures(source: str, num_perm: int = 128, size: int = 5, seed: int = 42)
     GROUP BY doc_id, i"""
 
 
-def buckets(source: str, bands: int, rows: int, num_perm: int = 128, size: int = 5) -> str:
+def buckets(source: str, bands: int, rows: int, num_perm: int = 128, size: int = 5, family: str = "md5") -> str:
     """doc_id, band, bucket rows."""
     return f"""
     SELECT doc_id, i // {rows} AS band,
            md5((i // {rows}) || ':' || string_agg(value::varchar, ',' ORDER BY i)) AS bucket
-    FROM ({signatures(source, num_perm, size)}) WHERE i < {bands * rows} GROUP BY doc_id, band"""
+    FROM ({signatures(source, num_perm, size, family=family)}) WHERE i < {bands * rows} GROUP BY doc_id, band"""
 
 
-def walk(source: str, bands: int = 8, rows: int = 16, num_perm: int = 128, size: int = 5,
-         capacity: int | None = None) -> str:
+def walk(source: str, bands: int = 8, rows: int = 16, num_perm: int = 128, size: int = 5, family: str = "md5") -> str:
     """CTEs ending in ``seen(doc_id, is_kept)``: documents with shingles one by one, in
     the order of doc_id, against the buckets of those kept before. Needs WITH RECURSIVE.
     """
-    full = "" if capacity is None else f"w.n_kept >= {capacity} OR "
-    hit = f"{full}NOT list_has_any(w.held, p.bs)"
-    index = hit if capacity is None else f"w.n_kept < {capacity} AND NOT list_has_any(w.held, p.bs)"
+    free = "NOT list_has_any(w.held, p.bs)"
     return f"""
-    bucketed AS MATERIALIZED ({buckets(source, bands, rows, num_perm, size)}),
+    bucketed AS MATERIALIZED ({buckets(source, bands, rows, num_perm, size, family)}),
     perdoc AS MATERIALIZED (
       SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, bs
       FROM (SELECT doc_id, list(hash(bucket)) AS bs FROM bucketed GROUP BY doc_id)),
     walked AS (
-      SELECT 0::bigint AS rn, []::ubigint[] AS held, 0::bigint AS n_kept, false AS is_kept
+      SELECT 0::bigint AS rn, []::ubigint[] AS held, false AS is_kept
       UNION ALL
-      SELECT p.rn, CASE WHEN {index} THEN list_concat(w.held, p.bs) ELSE w.held END,
-             w.n_kept + CASE WHEN {index} THEN 1 ELSE 0 END, {hit}
+      SELECT p.rn, CASE WHEN {free} THEN list_concat(w.held, p.bs) ELSE w.held END, {free}
       FROM walked w JOIN perdoc p ON p.rn = w.rn + 1),
     seen AS MATERIALIZED (SELECT doc_id, is_kept FROM walked JOIN perdoc USING (rn))"""

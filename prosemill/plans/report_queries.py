@@ -141,8 +141,8 @@ def length_stats(spark, sf_dir):
 def _bins_sql(value: str, unit: str, power: int) -> str:
     edges = V.log_edges(power)
     at = " + ".join(f"({value} >= {e!r})::int" for e in edges)
-    return (f"SELECT side, '{unit}' AS unit, least({at} - 1, {len(edges) - 2})::bigint AS bin FROM {SIDES_SQL} "
-            f"WHERE {value} BETWEEN {edges[0]!r} AND {edges[-1]!r}")
+    return (f"SELECT side, '{unit}' AS unit, CASE WHEN {value} > {edges[-1]!r} THEN {len(edges) - 1} "
+            f"ELSE least({at} - 1, {len(edges) - 2}) END::bigint AS bin FROM {SIDES_SQL}")
 
 
 @query("length_histogram_log", f"""
@@ -218,14 +218,10 @@ def redaction_examples(spark, sf_dir):
     return V.redaction_examples(sides(spark, sf_dir), "doc_id")
 
 
-SAMPLE = 1000
+SAMPLE = 100  # the sampling operator's own limit
 
 
-def _sample(where: str = "") -> str:
-    return f"""(SELECT doc_id, text FROM documents {where} ORDER BY md5('42:' || doc_id), doc_id LIMIT {SAMPLE})"""
-
-
-@query("sample_docs_random", f"SELECT doc_id, text FROM {_sample()}")
+@query("sample_docs_random", f"SELECT doc_id, text FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT {SAMPLE}")
 def sample_docs_random(spark, sf_dir):
     return V.sample_docs_random(documents(spark, sf_dir), SAMPLE)
 
@@ -245,17 +241,15 @@ def _above(category: str) -> str:
 @query("toxicity_scores", f"""
     SELECT 'input' AS side, category, count(*) AS docs, count(*) FILTER (WHERE hit) AS toxic_docs,
            round(count(*) FILTER (WHERE hit) * 100.0::double / count(*), 4) AS toxic_pct
-    FROM ({' UNION ALL '.join(f"SELECT '{c}' AS category, {_above(c)} AS hit FROM {_sample()}" for c in P.TOXICITY_CATEGORIES)})
+    FROM ({' UNION ALL '.join(f"SELECT '{c}' AS category, {_above(c)} AS hit FROM documents" for c in P.TOXICITY_CATEGORIES)})
     GROUP BY category""")
 def toxicity_scores(spark, sf_dir):
-    """A seeded sample of 1,000 documents, as many as the report asks for."""
-    sample = V.sample_docs_random(documents(spark, sf_dir), SAMPLE).withColumn("side", F.lit("input"))
-    return V.toxicity_scores(sample, "sample_lexicon")
+    return V.toxicity_scores(documents(spark, sf_dir).withColumn("side", F.lit("input")), "sample_lexicon")
 
 
 # ------------------------------------------------------------------- language reports
 
-_LABELLED = f"(SELECT side, replace(label, '__label__', '') AS lang_label FROM ({S.language(SIDES_SQL, S.head)}))"
+_LABELLED = f"(SELECT side, replace(label, '__label__', '') AS lang_label FROM ({S.language(SIDES_SQL)}))"
 
 
 @query("language_distribution", f"SELECT side, lang_label, count(*) AS docs FROM {_LABELLED} GROUP BY side, lang_label")
@@ -310,20 +304,17 @@ def perplexity(spark, sf_dir):
         "perplexity", F.round(F.when(F.isnan("perplexity"), -1.0).otherwise(F.col("perplexity")), 4))
 
 
-def _sampled_scores(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    sample = V.sample_docs_random(docs.select("doc_id"), SAMPLE)
-    return PP.perplexity(docs, WINDOWS, scored=sample).withColumn("side", F.lit("input"))
-
-
-_SAMPLED = f"(SELECT perplexity FROM scores WHERE doc_id IN (SELECT doc_id FROM {_sample()}))"
+def _scores(spark, sf_dir):
+    return PP.perplexity(documents(spark, sf_dir), WINDOWS).withColumn("side", F.lit("input"))
 
 
 @query("perplexity_stats", f"""{_PERPLEXITY}
-    SELECT 'input' AS side, count(*) AS docs, round(avg(perplexity), 4) AS mean, round(median(perplexity), 4) AS median
-    FROM {_SAMPLED}""")
+    SELECT 'input' AS side, count(*) AS docs, count(*) - count(perplexity) AS unscored,
+           round(avg(perplexity), 4) AS mean, round(median(perplexity), 4) AS median
+    FROM documents LEFT JOIN scores USING (doc_id)""")
 def perplexity_stats(spark, sf_dir):
-    return PP.perplexity_stats(_sampled_scores(spark, sf_dir)).withColumns(
+    """All documents; those of one word or none have no score."""
+    return PP.perplexity_stats(_scores(spark, sf_dir)).withColumns(
         {c: F.round(c, 4) for c in ("mean", "median")})
 
 
@@ -331,8 +322,10 @@ TOP = 5000.0
 
 
 @query("perplexity_histogram", f"""{_PERPLEXITY}
-    SELECT 'input' AS side, least(floor(perplexity / ({TOP} / 49)), 48)::bigint AS bin, count(*) AS docs
-    FROM {_SAMPLED} WHERE perplexity BETWEEN 0 AND {TOP} GROUP BY bin""")
+    SELECT 'input' AS side, CASE WHEN perplexity IS NULL THEN -1 WHEN perplexity > {TOP} THEN 49
+           ELSE least(floor(perplexity / ({TOP} / 49)), 48) END::bigint AS bin, count(*) AS docs
+    FROM documents LEFT JOIN scores USING (doc_id) GROUP BY bin""")
 def perplexity_histogram(spark, sf_dir):
-    """49 bins; the range is wider than for a neural model, whose perplexities are lower."""
-    return PP.perplexity_histogram(_sampled_scores(spark, sf_dir), top=TOP)
+    """49 bins, one above and one for unscored documents; the range is wider than for a neural
+    model, whose perplexities are lower."""
+    return PP.perplexity_histogram(_scores(spark, sf_dir), top=TOP)

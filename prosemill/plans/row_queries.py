@@ -77,11 +77,16 @@ text_query("code_symbol_density", lambda t: F.round(X.code_symbol_density(t), 9)
 text_query("doc_id_md5", lambda t: X.doc_id(t, "md5"), "md5(text)")
 
 
-@query("doc_id_xxh64")
+@query("doc_id_xxh64", """
+    SELECT first_doc, docs, '16 ' || kind AS form FROM (SELECT min(doc_id) AS first_doc, count(*) AS docs FROM documents GROUP BY text),
+           (VALUES ('native'), ('seed0')) k(kind)""")
 def doc_id_xxh64(spark, sf_dir):
-    """64-bit ids: native with seed 42, and with seed 0 through the Arrow UDF."""
-    return documents(spark, sf_dir).select(
-        "doc_id", X.doc_id(F.col("text")).alias("native_id"), X.doc_id(F.col("text"), "xxh64").alias("seed0_id"))
+    """64-bit ids, native with seed 42 and with seed 0 through the Arrow UDF: as many digits
+    and the same groups of documents as by text."""
+    ids = documents(spark, sf_dir).select("doc_id", F.explode(F.create_map(
+        F.lit("native"), X.doc_id(F.col("text")), F.lit("seed0"), X.doc_id(F.col("text"), "xxh64"))).alias("kind", "id"))
+    return ids.groupBy("kind", "id").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("docs")).select(
+        "first_doc", "docs", F.concat_ws(" ", F.length("id"), "kind").alias("form"))
 
 
 @query("filter_min_length", "SELECT doc_id, text FROM documents WHERE length(text) >= 100")

@@ -1,11 +1,11 @@
 """JSON-lines input and output."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import output_bytes
-
 RAW_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("url", T.StringType()),
@@ -17,7 +17,7 @@ def read_jsonl(spark: SparkSession, path, schema=RAW_SCHEMA, with_corrupt: bool
     """Lines as rows of a fixed schema; no inference pass. A missing path raises.
 
     A malformed line becomes a row of nulls, which ingestion drops; ``with_corrupt``
-    keeps its raw content in ``_corrupt_record``.
+    keeps its raw content in ``_corrupt_record``, so that a run can count such lines.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -28,10 +28,9 @@ def read_jsonl(spark: SparkSession, path, schema=RAW_SCHEMA, with_corrupt: bool
     return reader.schema(schema).json(path)
 
 
-def read_lines(spark: SparkSession, path, limit: int | None = None) -> DataFrame:
-    """Raw lines as ``value``; all of them, or the first ``limit`` for a quick look."""
-    lines = spark.read.text(path)
-    return lines if limit is None else lines.limit(limit)
+def read_lines(spark: SparkSession, path) -> DataFrame:
+    """Raw lines as ``value``."""
+    return spark.read.text(path)
 
 
 def file_name(path_column=None):
@@ -74,41 +73,45 @@ def write_jsonl(df: DataFrame, path: str, max_records_per_file: int = 0) -> None
        .option("maxRecordsPerFile", max_records_per_file).json(path))
 
 
-def write_jsonl_single(
-    df: DataFrame, path: str, order_by=(), max_bytes: int = 1 << 30,
-) -> str:
-    """One JSON-lines file, in ``order_by`` order, made from sharded output.
+def write_jsonl_single(df: DataFrame, path: str, order_by=()) -> str:
+    """One JSON-lines file, in ``order_by`` order, whatever its size. Returns the path.
 
-    A single file has a single writer, so this is for outputs of a checked size:
-    the shards are written next to ``path`` first; if they exceed ``max_bytes`` they
-    stay there, whole, as the output, and their folder is returned. Otherwise they
-    are appended in name order, in constant memory, and removed. Returns the path.
+    Sharded output is written next to ``path`` and appended, in name order and constant
+    memory, to a file of a temporary name that takes the place of ``path`` only when it is
+    whole. A failure leaves an earlier file as it was. A single file has a single writer;
+    sharded output is the one to choose for large exports.
     """
     spark = df.sparkSession
-    shards = f"{path}_shards"
-    write_jsonl(df.orderBy(*order_by) if order_by else df, shards)
-    if output_bytes(spark, shards) > max_bytes:
-        return shards
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    source, target = jvm.org.apache.hadoop.fs.Path(shards), jvm.org.apache.hadoop.fs.Path(path)
+    mark = uuid.uuid4().hex
+    shards, whole = f"{path}.shards-{mark}", f"{path}.part-{mark}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    source, part_path, target = hadoop.Path(shards), hadoop.Path(whole), hadoop.Path(path)
     fs = source.getFileSystem(conf)
     try:
+        write_jsonl(df.orderBy(*order_by) if order_by else df, shards)
         parts = sorted(
             s.getPath().toString() for s in fs.listStatus(source)
             if s.getPath().getName().endswith(".json"))
-        if not parts:
-            raise FileNotFoundError(f"no JSON shards in {shards}")
-        out = fs.create(target, True)
+        out = fs.create(part_path, True)
         try:
             for part in parts:
-                shard = fs.open(jvm.org.apache.hadoop.fs.Path(part))
-                try:
-                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(shard, out, 1 << 20, False)
-                finally:
-                    shard.close()
+                _append(jvm, fs, hadoop.Path(part), out)
         finally:
             out.close()
+        overwrite = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        overwrite[0] = hadoop.Options.Rename.OVERWRITE
+        context = hadoop.FileContext.getFileContext(fs.makeQualified(target).toUri(), conf)
+        context.rename(fs.makeQualified(part_path), fs.makeQualified(target), overwrite)
     finally:
         fs.delete(source, True)
+        fs.delete(part_path, False)
     return path
+
+
+def _append(jvm, fs, part, out) -> None:
+    shard = fs.open(part)
+    try:
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(shard, out, 1 << 20, False)
+    finally:
+        shard.close()

@@ -27,11 +27,14 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the scratch folder; never one that exists."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the scratch folder; never one that exists. ``release`` deletes it."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 _STAGED: dict[str, list[str]] = {}
+_TABLES: dict[str, list[str]] = {}
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -41,14 +44,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     instead of recomputing the plan.
     """
     path = scratch_path(df.sparkSession, name)
-    _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As :func:`stage`, with the rows bucketed by a column, so that a later join on it
+    shuffles the other side only. Cheap for a frame that is partitioned by it already."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"{name}_{path.rsplit('-', 1)[1]}"
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(table)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def release(spark: SparkSession) -> None:
-    """Delete all tables this application staged; frames that read them end with that."""
+    """Delete all that this application put into scratch space; frames that read it end with that."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for table in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     for staged in _STAGED.pop(spark.sparkContext.applicationId, []):
         path = jvm.org.apache.hadoop.fs.Path(staged)
         path.getFileSystem(conf).delete(path, True)
@@ -81,13 +97,13 @@ def size_shuffles(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy per-row work, with shuffles sized for the scan.
+    """Use all cores for heavy per-row work.
 
     A scan with fewer partitions than the cluster has cores is small and gets
-    redistributed; a large scan is returned as it is.
+    redistributed; a large scan is returned as it is. No setting changes.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if size_shuffles(df) >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def output_bytes(spark: SparkSession, path: str) -> int:

@@ -97,7 +97,8 @@ def test_histogram_edges(apply):
     edges = V.log_edges(5)
     assert len(edges) == 25 and edges[0] == 10 and edges[-1] == 1e5
     got = apply(lambda c: V.bin_of(c, edges), [9, 10, 14, 15, 100_000, 99_999, 100_001], "bigint")
-    assert got == [None, 0, 0, 1, 23, 23, None]
+    assert got == [-1, 0, 0, 1, 23, 23, 24]
+    assert apply(lambda c: V.bin_of(c, edges), [None], "bigint") == [-1]
     assert apply(lambda c: V.bin_of(c, edges), edges, "double") == [*range(24), 23]
 
 
@@ -232,9 +233,9 @@ def test_perplexity_report(spark):
     scores = spark.createDataFrame(
         [("input", v) for v in (0.0, 10.0, 499.9, 500.0, 600.0, float("nan"))], "side string, perplexity double")
     row = PP.perplexity_stats(scores).first()
-    assert row.docs == 5 and row.median == 499.9 and row["mean"] == pytest.approx(321.98)
+    assert row.docs == 6 and row.unscored == 1 and row.median == 499.9 and row["mean"] == pytest.approx(321.98)
     bins = {r.bin: r.docs for r in PP.perplexity_histogram(scores).collect()}
-    assert bins == {0: 2, 48: 2}  # 0 and 10; 499.9 and the closed right edge
+    assert bins == {-1: 1, 0: 2, 48: 2, 49: 1}  # unscored; 0 and 10; 499.9 and the closed right edge; above
 
 
 def test_external_perplexity_model(spark):

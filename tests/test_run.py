@@ -28,22 +28,39 @@ def settings(tmp_path, **changes):
         "compute_counts": True,
         "paths": {"output_file": str(tmp_path / "out.jsonl"), "processed_dir": str(tmp_path / "tokens")},
         "ingestion": {"input_path": str(tmp_path / "raw.jsonl"), "min_text_length": 100, "batch_size": 2000},
-        "filtering": {"toxic_words": ["zzz"], "language_model_path": "ignored"},
-        "deduplication": {"max_lsh_items": 1000},
+        "filtering": {"toxic_words": ["zzz"]},
         "tokenization": {"ranks_path": _ranks(), "max_length": 16, "enabled": _ranks() is not None},
         **changes,
     }
 
 
 def test_defaults_and_names():
-    cfg = C.from_dict({"ingestion": {"input_path": "x"}, "tokenization": {"add_special_tokens": True},
-                       "deduplication": {"max_lsh_items": 7}, "order_by": ["url"], "unknown": {"a": 1}})
+    with pytest.warns(UserWarning) as told:
+        cfg = C.from_dict({"ingestion": {"input_path": "x"}, "tokenization": {"add_special_tokens": True},
+                           "deduplication": {"max_lsh_items": 7}, "order_by": ["url"], "unknown": {"a": 1}})
+    said = " ".join(str(w.message) for w in told)
+    assert "max_lsh_items has no effect" in said and "unknown has no effect" in said
     assert cfg.ingestion.min_text_length == 100 and cfg.filtering.min_lang_score == 0.65
-    assert cfg.tokenization.parse_special and cfg.deduplication.max_items == 7 and cfg.order_by == ("url",)
+    assert cfg.tokenization.parse_special and cfg.order_by == ("url",)
+    assert C.RunConfig().order_by == ()
     with pytest.raises(ValueError, match="input_path"):
         C.from_dict({})
 
 
+def test_a_language_model_without_scorer_is_refused():
+    section = {"language_model_path": "lid.bin"}
+    with pytest.raises(ValueError, match="lid.bin"):
+        C.from_dict({"ingestion": {"input_path": "x"}, "filtering": section})
+    with pytest.raises(ValueError, match="not registered"):
+        C.from_dict({"ingestion": {"input_path": "x"}, "filtering": {**section, "language_scorer": "none"}})
+
+
+def test_malformed_lines_stop_a_run_if_told_to(spark, tmp_path):
+    cfg = C.from_dict(settings(tmp_path, fail_on_malformed=True))
+    with pytest.raises(Exception, match="malformed line: broken line"):
+        run(spark, cfg)
+
+
 def test_load_yaml(tmp_path):
     (tmp_path / "c.yaml").write_text("ingestion:\n  input_path: in.jsonl\nfiltering:\n  toxic_words: [a, b]\n")
     cfg = C.load_config("c.yaml", root=str(tmp_path))
@@ -54,7 +71,7 @@ def test_load_yaml(tmp_path):
 
 def test_whole_run(spark, tmp_path):
     report = run(spark, C.from_dict(settings(tmp_path)))
-    assert report.counts == {"ingested": 5, "filtered": 4, "deduplicated": 3}
+    assert report.counts == {"malformed": 1, "ingested": 5, "filtered": 4, "deduplicated": 3}
     assert report.retention_pct == pytest.approx(60.0)
     rows = J.read_jsonl(spark, report.output_path, "doc_id STRING, text STRING, url STRING, source STRING").collect()
     assert len(rows) == 3 and {r.source for r in rows} == {"raw.jsonl"}
@@ -109,14 +126,31 @@ def test_export_columns(spark):
     assert J.export_columns(df).columns == ["doc_id", "text", "source"]
 
 
-def test_single_file_is_for_checked_sizes(spark, tmp_path):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("doc_id"), F.lit("text").alias("text")).repartition(5)
+def test_single_file_is_replaced_as_a_whole(spark, tmp_path, monkeypatch):
+    def frame(n):
+        return spark.range(n).select(F.format_string("%05d", "id").alias("doc_id"), F.lit("text").alias("text")).repartition(5)
+
+    def ids():
+        return [json.loads(line)["doc_id"] for line in open(path)]
+
     path = str(tmp_path / "s.jsonl")
-    assert J.write_jsonl_single(df, path, ("doc_id",)) == path
-    ids = [json.loads(line)["doc_id"] for line in open(path)]
-    assert ids == sorted(map(str, range(1000))) and not os.path.exists(path + "_shards")
-    shards = J.write_jsonl_single(df, path, max_bytes=10)
-    assert shards == path + "_shards" and spark.read.text(shards).count() == 1000  # whole, as shards
+    for n in (100, 1000):
+        assert J.write_jsonl_single(frame(n), path, ("doc_id",)) == path
+        assert ids() == [f"{i:05d}" for i in range(n)]
+    calls = []
+
+    def broken(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError("lost")
+        return append(*args)
+
+    append = J._append
+    monkeypatch.setattr(J, "_append", broken)
+    with pytest.raises(OSError):
+        J.write_jsonl_single(frame(2000), path, ("doc_id",))
+    assert len(ids()) == 1000
+    assert [f for f in os.listdir(tmp_path) if not f.startswith(".")] == ["s.jsonl"]
 
 
 def test_read_pair(spark, tmp_path):
@@ -128,7 +162,6 @@ def test_read_pair(spark, tmp_path):
 def test_read_lines(spark, tmp_path):
     (tmp_path / "l.txt").write_text("a\nb\nc\n")
     assert J.read_lines(spark, str(tmp_path / "l.txt")).count() == 3
-    assert J.read_lines(spark, str(tmp_path / "l.txt"), 2).count() == 2
 
 
 def test_scratch_folder_comes_from_the_session(spark):
