@@ -45,9 +45,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _drop_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _drop_shuffles(spark: SparkSession) -> None:
+    """Free the disks of shuffles that a written table has made useless. Spark's cleaner
+    removes them once the driver has collected its garbage, which may else take long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def stage_bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """As :func:`stage`, with the rows bucketed by a column, so that a later join on it
     shuffles the other side only. Cheap for a frame that is partitioned by it already."""
