@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from ..operators.ingest import computed_once
 from .registry import query, table
+from .windows import words_of
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: what lies between words once A-Z are lower-cased
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,11 +61,6 @@ OWN = (
 )
 
 
-def words_of(text: Column) -> Column:
-    """Words of a text, A-Z lower-cased."""
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
-
-
 def _index(templates, holders: dict[str, int], documents: int, filed: int):
     """Rows (label, base, words, weights, must positions, token, its position) of the index."""
     rows = []
@@ -106,7 +103,7 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = BASE + OWN,
     """
     words = F.col("words")
     rows = computed_once(docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")),
-                         words=words_of(F.col("text"))).drop("text")
+                         words=words_of(F.translate("text", UPPER, LOWER), BETWEEN)).drop("text")
     vocabulary = F.array(*(F.lit(w) for w in sorted({w for t in templates for w in t.text.split()})))
     counts = rows.select(F.explode(F.array_append(F.array_intersect(vocabulary, words), F.lit(""))).alias("word")).groupBy(
         "word").agg(F.count("*").alias("n")).collect()
