@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 
 from ..operators.ingest import computed_once
 from .registry import query, table
+from .windows import add_windows, words_of
 
 #: private characters that mark a slot; fixed values
 NUMBER, UNIT, NAME, _AFTER = "", "", "", ""
 UNITS = ("km|m|cm|mm|mi|ft|kg|g|mg|lb|oz|l|ml|s|ms|min|h|hz|khz|mhz|ghz|kb|mb|gb|tb|w|kw|kwh|v|percent|degrees|"
          "meters|metres|miles|feet|inches|grams|kilograms|pounds|liters|litres|seconds|minutes|hours|days|weeks|months|years|"
          "dollars|euros|cents|usd|eur")
-_NUMBER = rf"(?<![A-Za-z0-9])([0-9]+(?:[.,:][0-9]+)*)(?:\s?({UNITS}|%|€|\$)(?![A-Za-z0-9]))?(?![A-Za-z0-9])"
+_NUMBER = rf"(?<![A-Za-z0-9])([0-9]+(?:[.,:][0-9]+)*)(?:\s?({UNITS})(?![A-Za-z0-9]))?(?![A-Za-z0-9])"
 _NAME = r"\p{Lu}(?<=[\p{Ll},;] .)\p{L}*"
-_TOKEN = rf"{NUMBER}[0-9.,:]*[0-9]|{UNIT}[^\x00-\x20{NUMBER}-{NAME}]+|{NAME}?[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F{NUMBER}-{NAME}]+"
+#: ASCII other than letters and digits ends a word, but for marks inside a number
+_BETWEEN = r"(?:[\x00-\x2B\x2D\x2F\x3B-\x40\x5B-\x60\x7B-\x7F]|[.,:](?![0-9])|(?<![0-9])[.,:])+"
 #: words of a window, literal words it must have, windows of one alignment that make a match
 WINDOW, LITERAL, ENOUGH = 8, 4, 6
 #: windows of the benchmark up to which they are broadcast; more go through a shuffle
@@ -31,7 +33,7 @@ def tokens_of(text: Column) -> Column:
     """Words, lower-cased; a slot is its mark and its value."""
     named = F.regexp_replace(text, _NAME, f"{NAME}$0")
     marked = F.regexp_replace(named, _NUMBER, f" {NUMBER}$1 {UNIT}$2 ")
-    return F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
+    return F.array_remove(words_of(F.lower(marked), _BETWEEN), UNIT)
 
 
 def _is_slot(token: Column) -> Column:
@@ -44,14 +46,11 @@ def _template(tokens: Column) -> Column:
         F.xxhash64(t).bitwiseOR(F.lit(1))))
 
 
-def _windows(template: Column, size: int) -> Column:
-    """Hash of each window in order, null for those with too few literal words."""
-    def one(i):
-        parts = [F.get(template, i + k) for k in range(size)]
-        literal = sum((p.bitwiseAND(F.lit(1)) for p in parts[1:]), parts[0].bitwiseAND(F.lit(1)))
-        return F.when(literal >= min(LITERAL, size), F.xxhash64(F.lit(size), *parts))
-
-    return F.when(F.size(template) >= size, F.transform(F.sequence(F.lit(0), F.size(template) - size), one))
+def _enough_literal(template: Column, size: int) -> Column:
+    """Whether each whole window has enough literal words."""
+    literal = F.transform(template, lambda t: t.bitwiseAND(F.lit(1)))
+    return F.transform(F.sequence(F.lit(1), F.size(template) - size + 1), lambda i: F.aggregate(
+        F.slice(literal, i, size), F.lit(0).cast("bigint"), lambda s, x: s + x) >= min(LITERAL, size))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -79,25 +78,33 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         return rows.drop("__h").withColumn("leaks", F.lit(None).cast(leak))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
-    own = lambda s: (F.least(F.size("item_tokens"), F.lit(WINDOW)) == s)
-    of_item = F.coalesce(*(F.when(own(s), _windows(_template(F.col("item_tokens")), s)) for s in sizes))
     slots = F.filter(F.transform("item_tokens", lambda t, i: F.struct(i.alias("at"), t.alias("value"))), lambda s: _is_slot(s["value"]))
-    listed = items.select("item", "item_tokens", slots.alias("slots"), of_item.alias("windows"))
-    listed = listed.withColumn("usable", F.size(F.filter("windows", lambda w: w.isNotNull())))
-    wanted = listed.select("item", "usable", F.size("item_tokens").alias("length"), "slots", F.posexplode("windows").alias("item_at", "window")).where("window IS NOT NULL")
-    small = wanted.select(F.count("*")).first()[0] <= BROADCAST_WINDOWS
-    keys = wanted.select("window", "item", "item_at")
+    items = computed_once(items, slots=slots, template=_template(F.col("item_tokens")))
+    listed = None
+    for size in sizes:
+        part = add_windows(items.where(F.least(F.size("item_tokens"), F.lit(WINDOW)) == size), "template", size, "windows")
+        # a text's window equals an item's only if it has as many literal words, so only items are asked
+        part = part.select("item", "slots", F.size("item_tokens").alias("length"), F.lit(size).alias("size"), F.filter(F.transform(
+            F.arrays_zip(F.slice("windows", 1, F.size("template") - size + 1).alias("window"), _enough_literal(F.col("template"), size).alias("use")),
+            lambda w, i: F.struct(i.alias("item_at"), w["window"].alias("window"), w["use"].alias("use"))), lambda w: w["use"]).alias("windows"))
+        listed = part if listed is None else listed.union(part)
+    listed = listed.withColumn("usable", F.size("windows"))
+    keys = listed.select("size", "item", F.inline("windows")).drop("use")
+    small = keys.select(F.count("*")).first()[0] <= BROADCAST_WINDOWS
 
     template = computed_once(rows.select(F.col(id_col).alias("__id"), "__h", text.alias("text")), tokens=tokens_of(F.col("text")))
     template = computed_once(template.drop("text"), template=_template(F.col("tokens"))).drop("tokens")
-    met = [template.select("__id", "__h", F.posexplode(_windows(F.col("template"), s)).alias("at", "window")).where(
-        "window IS NOT NULL").join(F.broadcast(keys) if small else keys, "window") for s in sizes]
+    met = []
+    for size in sizes:
+        own = keys.where(F.col("size") == size).drop("size")
+        met.append(add_windows(template, "template", size, "windows").select(
+            "__id", "__h", F.posexplode("windows").alias("at", "window")).join(F.broadcast(own) if small else own, "window"))
     hits = met[0]
     for more in met[1:]:
         hits = hits.union(more)
     aligned = hits.groupBy("__id", "__h", "item", (F.col("at") - F.col("item_at")).alias("start")).agg(
         F.countDistinct("item_at").alias("windows"))
-    facts = listed.select("item", F.col("usable"), F.size("item_tokens").alias("length"), "slots").distinct()
+    facts = listed.select("item", "usable", "length", "slots").distinct()
     enough = aligned.join(F.broadcast(facts) if small else facts, "item").where(
         F.col("windows") >= F.least(F.lit(ENOUGH), F.col("usable")))
     per_row = enough.groupBy("__id", "__h").agg(F.collect_list(F.struct(
