@@ -238,7 +238,7 @@ def _possible(a: str, b: str):
     return 5 * most >= 4 * (c(f"{a}.n") + c(f"{b}.n") - most)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) whose partial overlaps over all slices sum up to the similarity."""
     parts = sets.select("node", "n", F.posexplode("slices").alias("slice", "grams"))
     x = parts.select(F.col("node").alias("x"), F.col("n").alias("xn"), "slice", F.col("grams").alias("xg"))
@@ -249,7 +249,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return total.where(100 * F.col("common") >= percent * (F.col("xn") + F.col("yn") - F.col("common"))).select("x", "y")
 
 
-def _candidates_by_hub(posts: DataFrame) -> DataFrame:
+def candidates_by_hub(posts: DataFrame) -> DataFrame:
     hub = posts.groupBy("gram").agg(
         F.count("*").alias("sets"),
         F.max(F.struct((F.col("shared") / F.col("n")).alias("r"), "n", "node", "shared", "pos")).alias("b")
@@ -259,7 +259,7 @@ def _candidates_by_hub(posts: DataFrame) -> DataFrame:
         F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y")).distinct()
 
 
-def _candidates_across(posts: DataFrame, roots: DataFrame) -> DataFrame:
+def candidates_across(posts: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of sets of different components in one bucket.
 
     One side holds no set of the bucket's largest component, so sets that are connected
@@ -327,9 +327,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     posts = sets.select("node", "n", "shared", F.posexplode("lead").alias("at", "gram")).withColumn(
         "pos", F.col("n") - F.col("shared") + F.col("at")).drop("at")
 
-    first = stage(_verified(_candidates_by_hub(posts), sets, percent), "links")
+    first = stage(verified(candidates_by_hub(posts), sets, percent), "links")
     roots = components(first, "x", "y").select(F.col("node").alias("of"), "root")
-    links = stage(first.union(_verified(_candidates_across(posts, roots), sets, percent)), "links")
+    links = stage(first.union(verified(candidates_across(posts, roots), sets, percent)), "links")
 
     name = F.unhex(F.concat(*(F.lpad(F.hex(c), 16, "0") for c in ("p", "q"))))
     named = classes.select("p", "q", "id", name.alias("node"))
