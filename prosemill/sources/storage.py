@@ -1,5 +1,6 @@
 """Shared scratch space: staged tables that cut lineage and survive lost executors."""
 
+import gc
 import tempfile
 import uuid
 
@@ -51,7 +52,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def _drop_shuffles(spark: SparkSession) -> None:
     """Free the disks of shuffles that a written table has made useless. Spark's cleaner
-    removes them once the driver has collected its garbage, which may else take long."""
+    removes them once the driver has collected its garbage, which may else take long;
+    Python objects that hold plans go first."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
