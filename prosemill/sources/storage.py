@@ -1,6 +1,5 @@
 """Shared scratch space: staged tables that cut lineage and survive lost executors."""
 
-import gc
 import tempfile
 import uuid
 
@@ -45,21 +44,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     instead of recomputing the plan.
     """
     path = scratch_path(df.sparkSession, name)
-    _drop_shuffles(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _drop_shuffles(spark: SparkSession) -> None:
-    """Free the disks of shuffles that tables written before have made useless. Spark's cleaner
-    removes them once the driver has collected its garbage, which may else take long;
-    Python objects that hold plans go first. Just after a job its events still hold its
-    plan, so this comes before the next table."""
-    for _ in range(2):  # what the first one finalises, the second one frees
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-
-
 def stage_bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """As :func:`stage`, with the rows bucketed by a column, so that a later join on it
     shuffles the other side only. Cheap for a frame that is partitioned by it already."""
