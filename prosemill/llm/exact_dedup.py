@@ -1,9 +1,10 @@
 """Exact dedup by an exchange of compressed fingerprints.
 
 Every task sorts fixed-width fingerprints of its rows and sends each owner (a range of
-fingerprints) a Golomb-coded list of its share, about four bytes a row. Owners answer each
-list with a bitmap of the fingerprints that somebody else, or the sender itself, has again.
-Only rows with such a bit are suspects; their texts are shuffled and compared byte by byte.
+fingerprints) a Golomb-coded list of its distinct ones, about four bytes each, so a text of a
+third of all rows costs an owner one entry per list. Owners answer each list with a bitmap
+of the fingerprints that somebody else has again. Rows with such a bit, and those whose own list
+has several of one fingerprint, are suspects; their texts are shuffled and compared byte by byte.
 """
 
 import uuid
@@ -45,8 +46,11 @@ def _low(owner: int, owners: int) -> int:
     return -(-(owner << _BITS) // owners)
 
 
-_ROW = pa.struct([("id", pa.int64()), ("size", pa.int64()), ("h", pa.int64()), ("digest", pa.binary())])
-_LISTS = "owner int, list string, coded binary, docs array<struct<id bigint, size bigint, h bigint, digest binary>>"
+_ROW = pa.struct([("id", pa.int64()), ("size", pa.int64()), ("h", pa.int64()), ("digest", pa.binary()),
+                  ("at", pa.int32()), ("several", pa.bool_())])
+#: a row's fingerprint is the one numbered ``at`` of its list; ``several``: it isn't the only row there
+_LISTS = ("owner int, list string, coded binary, "
+          "docs array<struct<id bigint, size bigint, h bigint, digest binary, at int, several boolean>>")
 
 
 def _lists(owners: int):
@@ -58,13 +62,19 @@ def _lists(owners: int):
         order = np.argsort(prints, kind="stable")
         prints = prints[order].astype(np.int64)
         t = t.take(pa.array(order)).combine_chunks()
-        struct = pa.StructArray.from_arrays([t[c].combine_chunks() for c in ("id", "size", "h", "digest")], fields=list(_ROW))
+        first = np.ones(len(prints), bool)
+        np.not_equal(prints[1:], prints[:-1], out=first[1:])
+        group = np.cumsum(first) - 1
+        several = np.bincount(group)[group] > 1
         edges = np.searchsorted(prints, [_low(o, owners) for o in range(owners)] + [1 << _BITS])
         own = [o for o in range(owners) if edges[o] < edges[o + 1]]
+        at = group - np.repeat(group[edges[own]], edges[np.array(own) + 1] - edges[own])
+        struct = pa.StructArray.from_arrays([*(t[c].combine_chunks() for c in ("id", "size", "h", "digest")),
+                                             pa.array(at, pa.int32()), pa.array(several)], fields=list(_ROW))
         starts = pa.array([*(edges[o] for o in own), len(prints)], pa.int32())
         yield pa.RecordBatch.from_arrays([
             pa.array(own, pa.int32()), pa.array([name] * len(own)),
-            pa.array([golomb_encode(prints[edges[o]:edges[o + 1]], _low(o, owners)) for o in own], pa.binary()),
+            pa.array([golomb_encode(np.unique(prints[edges[o]:edges[o + 1]]), _low(o, owners)) for o in own], pa.binary()),
             pa.ListArray.from_arrays(starts, struct)], names=["owner", "list", "coded", "docs"])
 
     def run(batches):
@@ -116,12 +126,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .mapInArrow(_lists(owners), _LISTS), "lists")
     answers = lists.select("owner", "list", "coded").groupBy("owner").applyInArrow(
         _answers(owners), "owner int, list string, again binary")
-    # bit i of a packed bitmap belongs to row i of the list
-    marked = lists.select("owner", "list", "docs").join(answers, ["owner", "list"]).select(
-        "again", F.posexplode("docs").alias("i", "doc"))
-    suspects = stage(marked.where(F.expr(
-        "(cast(conv(hex(substring(again, cast(i div 8 as int) + 1, 1)), 16, 10) as int) >> (7 - i % 8)) & 1 = 1")).select("doc.*"), "suspects")
-    texts = rows.join(suspects.select(F.col("id").alias("sid"), F.col("h").alias("sh")),
+    # bit i of a packed bitmap belongs to fingerprint i of the list
+    marked = lists.select("owner", "list", "docs").join(answers, ["owner", "list"], "left").select(
+        "again", F.explode("docs").alias("doc")).select("again", "doc.*")
+    suspects = stage(marked.where(F.col("several") | F.expr(
+        "again is not null and (cast(conv(hex(substring(again, cast(at div 8 as int) + 1, 1)), 16, 10) as int) >> (7 - at % 8)) & 1 = 1")).select(
+        "id", "h"), "suspects")
+    # merged at every size: a broadcast that fits small inputs only would hide this shuffle
+    texts = rows.join(suspects.select(F.col("id").alias("sid"), F.col("h").alias("sh")).hint("merge"),
                       rows["id"].eqNullSafe(F.col("sid")) & (rows["h"] == F.col("sh")), "left_semi")
     same = texts.select(plain.alias("plain")).withColumn("digest", F.unhex(F.sha2("plain", 256))).groupBy("digest", "plain").agg(
         F.count("*").alias("rows"))

@@ -1,0 +1,40 @@
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+
+from prosemill.llm.exact_dedup import _BITS, _answers, _lists, _low, exact_dedup, golomb_decode
+
+
+def lists(texts, owners):
+    digests = [hashlib.sha256(t.encode()).digest() for t in texts]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(digests, pa.binary())],
+        names=["id", "size", "h", "digest"])
+    return [r for out in _lists(owners)([batch]) for r in out.to_pylist()], digests
+
+
+def test_an_owner_gets_a_fingerprint_once_per_list():
+    texts = ["the same"] * 3000 + [f"text {i // 2}" for i in range(400)] + [f"alone {i}" for i in range(500)]
+    sent, digests = lists(texts, 7)
+    seen = {}
+    for r in sent:
+        prints = golomb_decode(r["coded"], _low(r["owner"], 7))
+        assert (np.diff(prints) > 0).all()
+        for doc in r["docs"]:
+            assert int.from_bytes(digests[doc["id"]][:8]) >> (64 - _BITS) == prints[doc["at"]]
+            seen[doc["id"]] = doc["several"]
+    assert seen == {i: i < 3400 for i in range(len(texts))}
+    assert sum(np.frombuffer(r["coded"], "<i8", 1)[0] for r in sent) == 1 + 200 + 500
+    # alone with its list, nothing is anywhere again
+    assert all(_answers(7)((pa.scalar(r["owner"]),), pa.table({k: [r[k]] for k in ("owner", "list", "coded")})).num_rows == 0 for r in sent)
+
+
+def test_copies_in_one_list_and_across_lists(spark):
+    texts = ["hot"] * 500 + [f"twice {i}" for i in range(50)] * 2 + [f"once {i}" for i in range(100)]
+    for parts in (1, 5):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(parts)
+        rows = exact_dedup(df).collect()
+        assert len(rows) == len(texts) and sum(r.kept for r in rows) == 151
+        assert all(r.group_size == (500 if r.doc_id < 500 else 2 if r.doc_id < 600 else 1) for r in rows)
