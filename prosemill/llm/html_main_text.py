@@ -4,6 +4,11 @@ A page is read into a DOM by one scan over its tags. For every node the composit
 is its characters per tag, scaled by how little of it is link text. The densities of a node's
 children are summed; the node with the largest sum holds the content, and the least density
 on its path from the body is the threshold that its descendants have to reach.
+
+Parts that a word of their class, id or role names as a menu, an advert and the like are measured
+apart. One that holds an article or main element is none. Others hold the content only if their
+densest node has ASIDE_TIMES the sum of any outside, and that is in no article; inside the content, those named by a part
+of a longer name have to reach as many times the threshold.
 """
 
 import html as entities
@@ -41,6 +46,8 @@ NAMES = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe signup nav navbar navigation menu menus breadcrumb "
     "breadcrumbs sidebar sidebars aside widget widgets footer footers masthead toolbar pagination pager comment comments "
     "disqus reply replies respond share sharing social related recommended search login navigation complementary contentinfo".split())
+#: how much denser than others a part with such a name has to be
+ASIDE_TIMES = 2
 #: names of a header that is not an article's own
 SITE = frozenset("header site page top global main wrapper container".split())
 #: tags that a new one of these closes: (opened, closed, up to)
@@ -52,14 +59,18 @@ _CLOSES = {
 
 
 class Node:
-    __slots__ = ("tag", "up", "kids", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "up", "kids", "skip", "named", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag, up, skip, link):
         self.tag, self.up, self.skip, self.link, self.kids = tag, up, skip, link, []
+        self.named = None
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
+_WHOLE = ("html", "body", "article", "main")
+
+
 def _boilerplate(tag: str, attributes: str, up: Node) -> bool:
     if tag in ASIDE:
         return True
@@ -67,15 +78,23 @@ def _boilerplate(tag: str, attributes: str, up: Node) -> bool:
         while up and up.tag not in ("article", "main"):
             up = up.up
         return up is None
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+    return bool(attributes and tag not in _WHOLE and _HIDDEN.search(attributes))
+
+
+def _aside(tag: str, attributes: str) -> str | None:
+    """Whether class, id or role name a part beside the content: by a ``whole`` name, or a
+    ``part`` of one."""
+    found = None
+    if not attributes or tag in _WHOLE:
+        return found
     for m in _NAMED.finditer(attributes):
-        words = _WORD.findall((m[1] or m[2] or m[3] or "").lower())
-        if not NAMES.isdisjoint(words) or words and SITE.issuperset(words) and "header" in words:
-            return True
-    return False
+        value = (m[1] or m[2] or m[3] or "").lower()
+        words = _WORD.findall(value)
+        if not NAMES.isdisjoint(value.split()) or words and SITE.issuperset(words) and "header" in words:
+            return "whole"
+        if not NAMES.isdisjoint(words):
+            found = "part"
+    return found
 
 
 def parse(page: str) -> Node:
@@ -124,6 +143,12 @@ def parse(page: str) -> Node:
                 at = last.up
         node = Node(tag, at, at.skip or _boilerplate(tag, m[3] or "", at), at.link or tag == "a")
         at.kids.append(node)
+        if not node.skip:
+            node.named = _aside(tag, m[3] or "")
+            if tag in ("article", "main"):  # what encloses it is not beside it
+                up = at
+                while up:
+                    up.named, up = None, up.up
         if tag in RAW:
             lower = lower or page.lower()
             if len(lower) != end:  # a letter whose lower case is longer
@@ -138,29 +163,32 @@ def parse(page: str) -> Node:
     return root
 
 
-def _measure(root: Node) -> Node:
-    """Fill in characters, tags and densities bottom-up; returns the body, or the root."""
-    order, body = [root], root
+def _measure(top: Node, asides: list[Node], share: float | None = None) -> tuple[Node, float]:
+    """Fill in characters, tags and densities bottom-up, without the parts with names of their
+    own, which are added to ``asides``. Returns the body, or the top, and the share of link
+    text in it, which a part takes over from its page."""
+    order, body = [top], top
     for node in order:
-        if node.tag == "body" and body is root:
+        if node.tag == "body" and body is top:
             body = node
         for i, kid in enumerate(node.kids):
             if isinstance(kid, Node):
                 if not kid.skip:
-                    order.append(kid)
+                    (asides if kid.named else order).append(kid)
             elif not node.skip:
                 node.kids[i] = kid = entities.unescape(kid) if "&" in kid else kid
                 n = len(_SPACE.sub("", kid))
                 node.chars += n
                 node.link_chars += n if node.link else 0
     for node in reversed(order):
-        if node.up:
+        if node is not top:
             up = node.up
             up.chars += node.chars
             up.tags += node.tags + 1
             up.link_chars += node.link_chars
             up.link_tags += node.link_tags + (node.tag == "a")
-    share = body.link_chars / body.chars if body.chars else 0.0
+    if share is None:
+        share = body.link_chars / body.chars if body.chars else 0.0
     for node in reversed(order):
         c, t, lc, lt = node.chars, max(1, node.tags), node.link_chars, node.link_tags
         if c:
@@ -168,9 +196,20 @@ def _measure(root: Node) -> Node:
             # one is added to the base, which is 1 on pages without links
             if lc < c:
                 node.density = c / t * math.log(max(math.e, c / max(1, lc) * t / max(1, lt))) / math.log(1 + base)
-        if node.up:
+        if node is not top:
             node.up.total += node.density
-    return body
+    return body, share
+
+
+def _densest(top: Node) -> Node:
+    """The node with the largest sum of densities, without looking into parts with names."""
+    best, stack = top, [top]
+    while stack:
+        node = stack.pop()
+        if node.total > best.total:
+            best = node
+        stack += [k for k in node.kids if isinstance(k, Node) and not k.skip and not k.named]
+    return best
 
 
 def _blocks(top: Node, threshold: float) -> list[str]:
@@ -196,6 +235,8 @@ def _blocks(top: Node, threshold: float) -> list[str]:
                 line.append(kid)
             elif kid.tag == "br":
                 line.append(" ")
+            elif kid.named and (kid.named == "whole" or max(kid.density, kid.total) < ASIDE_TIMES * threshold or kid.chars <= kid.link_chars):
+                continue
             elif not kid.skip and kid.chars and (kid.tag not in _PARTS or kid.chars > kid.link_chars and max(kid.density, kid.total) >= threshold):
                 stack.append((node, i))
                 stack.append((kid, 0))
@@ -216,13 +257,17 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    body = _measure(root)
-    best, stack = body, [body]
-    while stack:
-        node = stack.pop()
-        if node.total > best.total:
-            best = node
-        stack += [k for k in node.kids if isinstance(k, Node) and not k.skip]
+    asides = []
+    body, share = _measure(root, asides)
+    best = _densest(body)
+    node, least = best, ASIDE_TIMES * best.total
+    while node.up and node.tag not in ("article", "main"):
+        node = node.up
+    for part in asides:  # grows by the parts inside parts
+        _measure(part, asides, share)
+        dense = _densest(part)
+        if dense.total > least and not node.up:  # no match for an article
+            best, least = dense, dense.total
     # the article that holds the densest node is taken whole
     node = best
     while node.up:
@@ -235,8 +280,7 @@ def main_text(page: str | None) -> str:
         threshold = min(threshold, node.density) if node.chars else threshold
     if best is not body and best.tag == "p":
         best = best.up
-    # below an article every part counts that is not mere links
-    return "\n".join(_blocks(best, 0.0 if best.tag in ("article", "main") else threshold))
+    return "\n".join(_blocks(best, threshold))
 
 
 def _extractor(batches: Iterator[pa.RecordBatch]):
