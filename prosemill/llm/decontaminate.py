@@ -57,7 +57,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The input rows with a column ``leaks``: for each benchmark item found in the text an entry
     (``item_id``, ``start`` and ``words`` of the place in words of the text, ``share`` of the
-    item's windows, ``exact``: all slots hold the item's own values); null if there is none.
+    item's windows, ``exact``: all slots from the first to the last window found hold the item's own values);
+    null if there is none. Only those slots have to be consistent.
 
     A match needs ENOUGH windows of one alignment, or all that the item has. Items of fewer
     than WINDOW words are one window; items with fewer than LITERAL literal words have no
@@ -103,12 +104,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     for more in met[1:]:
         hits = hits.union(more)
     aligned = hits.groupBy("__id", "__h", "item", (F.col("at") - F.col("item_at")).alias("start")).agg(
-        F.countDistinct("item_at").alias("windows"))
+        F.countDistinct("item_at").alias("windows"), F.min("item_at").alias("first"), F.max("item_at").alias("last"))
     facts = listed.select("item", "usable", "length", "slots").distinct()
     enough = aligned.join(F.broadcast(facts) if small else facts, "item").where(
         F.col("windows") >= F.least(F.lit(ENOUGH), F.col("usable")))
+    # of a part of an item, the text before and after it says nothing about the item's slots
+    held = F.filter("slots", lambda s: (s["at"] >= F.col("first")) & (s["at"] < F.col("last") + F.least("length", F.lit(WINDOW))))
     per_row = enough.groupBy("__id", "__h").agg(F.collect_list(F.struct(
-        "item", "start", "length", (F.col("windows") / F.col("usable")).alias("share"), "slots")).alias("__met"))
+        "item", "start", "length", (F.col("windows") / F.col("usable")).alias("share"), held.alias("slots"))).alias("__met"))
 
     # one shuffle of the texts, merged at every size
     joined = rows.join(per_row.select(F.col("__id"), F.col("__h").alias("__g"), "__met").hint("merge"),
