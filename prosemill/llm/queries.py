@@ -1,7 +1,7 @@
 """All queries of this subpackage and their SQL."""
 
 from . import (  # noqa: F401  (they register)
-    byte_bpe, decontaminate, exact_dedup, html_main_text, license_scan, line_dedup,
+    byte_bpe, decontaminate, exact_dedup, html_main_text, importance_resampling, license_scan, line_dedup,
     ngram_join, quality_ranking, substring_dedup, url_rules,
 )
 from .registry import ORACLES, QUERIES
