@@ -2,7 +2,7 @@
 
 from . import (  # noqa: F401  (they register)
     byte_bpe, decontaminate, exact_dedup, html_main_text, importance_resampling, license_scan, line_dedup,
-    ngram_join, quality_ranking, substring_dedup, url_rules,
+    ngram_join, quality_ranking, substring_dedup, url_rules, vector_codes,
 )
 from .registry import ORACLES, QUERIES
 
