@@ -24,8 +24,8 @@ from ..sources.storage import stage
 from .registry import query, table
 
 BUCKETS = 10_000
-#: frequent words that the dictionary holds; the others are hashed one by one
-DICTIONARY = 30_000
+#: the dictionary holds words above this part of all, hence fewer than so many; the others are hashed one by one
+DICTIONARY = 100_000
 #: bytes of text in one scan; a longer text is a scan of its own
 _BLOCK = 1 << 21
 _POLYNOMIAL = 0xEDB88320
@@ -176,11 +176,12 @@ def _text(text_col: str) -> Column:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = DICTIONARY) -> tuple[str, ...]:
-    """The ``most`` most frequent words over all rows, ties in their order."""
+    """The words that are more than one in ``most`` of the words of all rows that occur again:
+    fewer than ``most``, however many tasks count them."""
     found = F.explode(F.split(F.translate(_text(text_col), UPPER, LOWER), BETWEEN)).alias("word")
-    counts = docs.select(found).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
-    top = counts.where("octet_length(word) < 100").orderBy(F.desc("n"), "word").limit(most)
-    return tuple(sorted(r.word for r in top.collect()))
+    counts = stage(docs.select(found).where("word <> ''").groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return tuple(sorted(r.word for r in counts.where((F.col("n") * most > total) & (F.octet_length("word") < 100)).collect()))
 
 
 def bucket_counts(docs: DataFrame, words, buckets: int = BUCKETS, text_col: str = "text") -> np.ndarray:
