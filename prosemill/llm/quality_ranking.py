@@ -2,8 +2,8 @@
 
 A document's utility is a weighted sum of measures of its whole text. Of a pair of a good and
 a bad document the good one wins with the logistic function of the difference of utilities;
-the weights minimise that loss. The utility at the quantile given by the share of bad labels
-is the threshold, and becomes score 0.7.
+the weights minimise that loss. The threshold, which becomes score 0.7, lies between the distinct
+utilities that have the share of bad labels below them, over all labelled rows.
 """
 
 from collections.abc import Iterator
@@ -57,7 +57,7 @@ def measure(texts: pa.Array) -> pa.Array:
 
 
 def fit(good: np.ndarray, bad: np.ndarray, pairs: int = FIT_PAIRS, steps: int = 30, ridge: float = 1e-3):
-    """(centre, scale, weights, threshold, spread) from measures of good and of bad documents."""
+    """(centre, scale, weights, utilities of all) from measures of good and of bad documents."""
     both = np.concatenate([good, bad])
     centre, scale = both.mean(0), both.std(0) + 1e-9
     rng = np.random.default_rng(7)
@@ -79,28 +79,54 @@ def _held_out(key):
 
 def _learned(measured: DataFrame, labels: DataFrame, id_col: str, label_col: str, fit_rows: int):
     """The score as an expression over measures ``x``, learned from rows (id, x) with labels."""
-    told = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("label"))
-    known = measured.where(~_held_out(F.col("id"))).join(told, "id").where("id IS NOT NULL AND label IN (0, 1)").select(
+    labels = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("label"))
+    known = measured.where(~_held_out(F.col("id"))).join(labels, "id").where("id IS NOT NULL AND label IN (0, 1)").select(
         "label", "x", F.xxhash64("id").alias("h"), "id")
     sample = {k: np.array([r.x for r in known.where(F.col("label") == k).orderBy("h", "id", "x").select("x").limit(fit_rows).collect()])
               for k in (0, 1)}
     if not len(sample[0]) or not len(sample[1]):
         return F.lit(THRESHOLD)
-    shares = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     centre, scale, w, u = fit(sample[1], sample[0])
-    # the sample may hold the labels in other shares than the table does
-    order = np.argsort(u, kind="stable")
-    each = np.concatenate([np.full(len(sample[k]), shares[k] / len(sample[k])) for k in (1, 0)])[order]
-    at = min(int(np.searchsorted(np.cumsum(each), shares[0])), len(u) - 1)
-    threshold = (u[order][max(0, at - 1)] + u[order][at]) / 2
+    utility = F.aggregate(F.zip_with("x", F.array(*(F.lit(float(v)) for v in w / scale)), lambda a, b: a * b),
+                          F.lit(float(-centre @ (w / scale))), lambda s, v: s + v)
+    told = stage(known.select("label", utility.alias("u")), "utilities")
+    threshold = cut_at(told, "u", told.where("label = 0").count())
     spread = max(1e-9, float(np.std(u)) / 4)
-    weights = w / scale / spread
-    offset = float(np.log(THRESHOLD / (1 - THRESHOLD)) - threshold / spread - centre @ weights)
-    total = F.aggregate(F.zip_with("x", F.array(*(F.lit(float(v)) for v in weights)), lambda a, b: a * b),
-                        F.lit(offset), lambda s, v: s + v)
+    total = (utility - F.lit(threshold)) / F.lit(spread) + F.lit(float(np.log(THRESHOLD / (1 - THRESHOLD))))
     return 1 / (1 + F.exp(-F.least(F.greatest(total, F.lit(-700.0)), F.lit(700.0))))
 
 
+def cut_at(values: DataFrame, column: str, below: int, pieces: int = 4096, rounds: int = 5) -> float:
+    """A number between two distinct values of a column, with ``below`` values under it, or as
+    near to that as ties allow; the largest value if all are equal.
+
+    The interval that holds the value of that rank is cut into pieces whose values are counted,
+    round by round, so the driver sees at most ``pieces`` counts at a time. Values that the last
+    round does not tell apart (2**-60 of their range) are ties.
+    """
+    v = F.col(column)
+    low, high = values.agg(F.min(v), F.max(v)).first()
+    bottom, top, before = low, high, 0
+    for _ in range(rounds):
+        step = (top - bottom) / pieces
+        if step <= 0 or bottom + step == bottom:
+            break
+        piece = F.least(F.floor((v - F.lit(bottom)) / F.lit(step)), F.lit(pieces - 1))
+        inside = values.where((v >= F.lit(bottom)) & (v <= F.lit(top)))
+        counts = sorted(map(tuple, inside.groupBy(piece.alias("piece")).agg(F.count("*"), F.min(v), F.max(v)).collect()))
+        for _, n, least, most in counts:
+            if before + n >= max(1, below):
+                bottom, top = least, most
+                break
+            before += n
+    facts = values.agg(F.max(F.when(v < F.lit(bottom), v)), F.min(F.when(v > F.lit(top), v)),
+                       F.count_if(v < F.lit(bottom)), F.count_if(v <= F.lit(top))).first()
+    under, over, fewer, more = facts
+    sides = [((top + over) / 2, abs(more - below))] if over is not None else []
+    sides += [((bottom + under) / 2, abs(fewer - below))] if under is not None else []
+    return float(min(sides, key=lambda side: side[1])[0]) if sides else float(high)
+
+
 def _measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return stage(docs.select(F.col(id_col).cast("bigint").alias("id"), measure(text).alias("x")), "measures")
@@ -113,7 +139,7 @@ def rank_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     The score depends on the whole text alone. Weights are learned from labelled rows whose
     ``crc32(id as text) % 4`` is not 2, at most ``fit_rows`` of each label, those with the
     smallest hash of their id; the driver sees the measures of these rows only. Every row is
-    scored. A null text counts as empty, and an empty text gets the score of its measures, all
+    scored. The threshold is taken over all such rows; equal utilities stay on one side of it. A null text counts as empty, and an empty text gets the score of its measures, all
     zero. Null ids are scored, never learned from, and not held out. Repeated rows are scored
     as rows. Labels other than 0 and 1 say nothing. Without labels of both kinds nothing can
     be learned, and all rows score 0.7. Extra columns are ignored.

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from prosemill.llm.quality_ranking import MEASURES, fit, op6_quality_ranking, rank_quality
+from prosemill.llm.quality_ranking import MEASURES, cut_at, fit, op6_quality_ranking, rank_quality
 
 DOCS, LABELS = "doc_id bigint, text string", "doc_id bigint, quality int"
 
@@ -54,3 +54,24 @@ def test_fit_prefers_the_better_documents():
     good, bad = rng.normal(1, 1, (500, len(MEASURES))), rng.normal(0, 1, (100, len(MEASURES)))
     *_, w, u = fit(good, bad)
     assert (w > 0).all() and (np.sort(u[:500])[50] > np.sort(u[500:])[50])
+
+
+def test_cut_lies_between_distinct_values(spark):
+    rng = random.Random(6)
+    lists = [[0.0, 0.0, 1.0, 1.0, 1.0, 5.0], [3.0] * 7, [float(i) for i in range(10)], [1e-9 * i for i in range(50)] + [1e9],
+             [rng.gauss(0, 1) for _ in range(300)], [-5.0] * 20 + [rng.random() for _ in range(80)]]
+    for values in lists:
+        df = spark.createDataFrame([(v,) for v in values], "u double")
+        for below in {0, 1, 2, len(values) // 5, len(values) - 1, len(values)}:
+            cut = cut_at(df, "u", below)
+            edges = sorted({sum(v < x for v in values) for x in values} - {0} or {0})
+            got = sum(v < cut for v in values)
+            assert cut not in values or len(set(values)) == 1
+            assert len(set(values)) == 1 or abs(got - below) == min(abs(e - below) for e in edges), (values[:5], below, cut)
+
+
+def test_ties_stay_on_one_side(spark):
+    docs = [(i, "fine words that differ " + " ".join(f"w{i}x{j}" for j in range(40))) for i in range(60)] + [(100 + i, "### $$$ !!! " * 9) for i in range(15)]
+    labels = [(i, int(i < 100)) for i, _ in docs]
+    rows = rank_quality(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    assert all(r.predicted == int(r.doc_id < 100) for r in rows)
