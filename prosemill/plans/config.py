@@ -8,7 +8,7 @@ from ..functions import language
 
 from ..operators.dedup import DedupConfig
 from ..operators.ingest import IngestConfig
-from ..operators.quality import FilterConfig
+from ..operators.quality import TRAINED, FilterConfig
 from ..operators.tokenize import TokenizeConfig
 
 # configuration keys that have another name in the dataclasses
@@ -53,14 +53,16 @@ def from_dict(values: dict) -> RunConfig:
     sections = ("ingestion", "filtering", "deduplication", "tokenization", "paths")
     for key in sorted(set(values) - {*own, *sections}):
         warnings.warn(f"{key} has no effect: unknown key")
+    for key in sorted(set(paths) - {"output_file", "processed_dir"}):
+        warnings.warn(f"paths.{key} has no effect: unknown key")
     filtering = dict(values.get("filtering") or {})
-    model = filtering.pop("language_model_path", None)
-    if model and filtering.get("language_scorer", "stopword") == "stopword":
+    scorer, model = filtering.get("language_scorer", "stopword"), filtering.get("language_model_path")
+    if model and scorer == "stopword":
         raise ValueError(
-            f"no scorer is named for the language model {model}: register one with "
-            "language.SCORERS.register and name it as language_scorer")
-    if filtering.get("language_scorer", "stopword") not in language.SCORERS:
-        raise ValueError(f"language_scorer {filtering['language_scorer']!r} is not registered")
+            f"no scorer is named for the language model {model}: use {TRAINED!r} for a trained one, or register one "
+            "with language.SCORERS.register, and name it as language_scorer")
+    if scorer != TRAINED and scorer not in language.SCORERS:
+        raise ValueError(f"language_scorer {scorer!r} is not registered")
     return RunConfig(
         ingestion=ingestion,
         filtering=_section(FilterConfig, filtering),

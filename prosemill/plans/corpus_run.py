@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup
 from ..operators.ingest import ingest
-from ..operators.quality import quality_filter
+from ..operators.quality import TRAINED, quality_filter
 from ..operators.tokenize import run_tokenization
 from ..sources.jsonl import CORRUPT, export_columns, read_jsonl, write_jsonl, write_jsonl_single
 from ..sources.session import ship_package
@@ -60,6 +60,8 @@ def prepare(raw: DataFrame, cfg: RunConfig, counts: dict | None = None) -> DataF
         raw = raw.drop(CORRUPT)
     docs = observed(ingest(raw, cfg.ingestion), "ingested")
     if cfg.filtering.enabled:
+        if cfg.filtering.language_scorer == TRAINED:
+            docs = stage(docs, "ingested")  # the model is joined to it
         docs = observed(quality_filter(docs, cfg.filtering), "filtered")
     if cfg.deduplication.enabled:
         docs = stage(dedup(docs, list(cfg.order_by), cfg.deduplication), "documents")
