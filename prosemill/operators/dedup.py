@@ -2,6 +2,7 @@
 
 A near duplicate is a document that shares an LSH bucket with a *kept* earlier one.
 Dropped documents are not indexed, so with A~B and B~C but not A~C, both A and C stay.
+With ``verify`` the shared bucket counts only if the shingle sets are similar enough.
 That is a greedy choice in document order; :func:`first_wins` computes it in rounds of
 aggregations and joins over narrow (document, bucket) rows instead of one by one.
 """
@@ -13,10 +14,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as X
 from ..functions.minhash import best_bands, lsh_bands, shingle_hashes
 from ..sources.storage import stage, stage_bucketed
 from .ingest import computed_once
-from .joins import hot_keys, join_by_key
+from .joins import hot_keys, join_by_key, join_spread
 
 
 @dataclass(frozen=True)
@@ -27,6 +29,7 @@ class DedupConfig:
     ngram_size: int = 5
     seed: int = 42
     family: str = "sha1"
+    verify: bool = False  # a bucket hit counts only if the shingle sets are as similar as the threshold
 
     def __post_init__(self):
         if self.enabled and not 64 <= self.num_perm <= 256:
@@ -115,6 +118,81 @@ def _settle_round(members: DataFrame, total: int) -> DataFrame:
     return members.join(decided, "doc", "left").select("doc", "bucket", "kept")
 
 
+# ------------------------------------------------------------------- verified edges
+
+
+def shingle_sets(df: DataFrame, docs: DataFrame, cfg: DedupConfig, id_col: str) -> DataFrame:
+    """Materialised ``doc``, ``hashes`` (distinct 64-bit hashes of the shingles) of some documents.
+    ``docs`` has the order key ``doc`` of each; of all others only the id is looked at."""
+    keyed = docs.select("doc", _id_of(docs, id_col).alias("_id")).hint("merge")
+    texts = df.select(F.col(id_col).alias("_id"), "text").join(keyed, "_id")
+    return stage(texts.select("doc", F.transform(X.shingles(F.col("text"), cfg.ngram_size), lambda g: F.xxhash64(g)).alias("hashes")), "sets")
+
+
+def _id_of(docs: DataFrame, id_col: str):
+    return F.col(f"doc.{id_col}") if isinstance(docs.schema["doc"].dataType, T.StructType) else F.col("doc")
+
+
+def with_jaccard(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Add ``jaccard`` of the shingle sets to materialised, distinct pairs (``a``, ``b``); a
+    document with many pairs is spread over tasks."""
+    both = join_spread(pairs, sets.select(F.col("doc").alias("a"), F.col("hashes").alias("_x")), "a")
+    both = both.join(sets.select(F.col("doc").alias("b"), F.col("hashes").alias("_y")).hint("merge"), "b")
+    common = computed_once(both, _common=F.size(F.array_intersect("_x", "_y")))
+    return common.select(*pairs.columns, (F.col("_common") / (F.size("_x") + F.size("_y") - F.col("_common"))).alias("jaccard"))
+
+
+#: first members of a bucket that a round compares with the others: twice as many each round, up to this
+MOST_HUBS = 64
+
+
+def first_verified_wins(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Greedy keep-first where only bucket hits of at least the threshold count: one ``doc`` per
+    dropped document. As :func:`first_wins`, but a bucket may hold several kept documents.
+
+    In a round the first open members of each bucket are its hubs: every later member is
+    compared with them, once, and they leave the bucket. A document is kept when all earlier
+    members of its buckets have been hubs and none that is similar is kept or open, and dropped
+    when a similar earlier one is kept; dropped ones leave all buckets. Pairs are formed with hubs
+    only: near copies are one pair each, as their hub is kept in the first round. The number of
+    hubs doubles, so that buckets of many documents that are not similar need few rounds.
+
+    The smallest open document is decided in each round, so the rounds end.
+    """
+    members = members.select("doc", "bucket")
+    open_ = stage(members.select("doc").distinct(), "open")
+    kept = dropped = open_.limit(0)
+    edges = None
+    hubs_each = 1
+    while open_.head(1):
+        first = Window.partitionBy("bucket").orderBy("doc")
+        hubs = stage(members.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= hubs_each).select("bucket", "doc"), "hubs")
+        lists = hubs.groupBy("bucket").agg(F.sort_array(F.collect_list("doc")).alias("hubs"))
+        counts = stage(members.groupBy("bucket").agg(F.count("*").alias("n")), "buckets")
+        hot = hot_keys(counts, "bucket", "n", counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        pairs = join_by_key(members, lists, "bucket", hot).select(F.explode("hubs").alias("a"), F.col("doc").alias("b")).where("a < b")
+        pairs = stage(pairs.distinct(), "pairs")
+        found = with_jaccard(pairs, sets).where(F.col("jaccard") >= threshold).select("a", "b")
+        edges = stage(found if edges is None else edges.union(found), "edges")
+        members = members.join(hubs, ["bucket", "doc"], "left_anti")
+
+        now = F.col("b").alias("doc")
+        gone = edges.join(kept.withColumnRenamed("doc", "a"), "a", "left_semi").select(now)
+        heads = members.groupBy("bucket").agg(F.min("doc").alias("head"))
+        blocked = join_by_key(members, heads, "bucket", hot).where("head < doc").select("doc")
+        waiting = edges.join(open_.withColumnRenamed("doc", "a"), "a", "left_semi").select(now)
+        fresh = stage(open_.join(gone.union(blocked).union(waiting).distinct(), "doc", "left_anti"), "kept")
+        more = edges.join(fresh.withColumnRenamed("doc", "a"), "a", "left_semi").select(now)
+        lost = stage(gone.union(more).distinct().join(open_, "doc", "left_semi"), "lost")
+        kept, dropped = kept.union(fresh), dropped.union(lost)
+        open_ = stage(open_.join(fresh.union(lost), "doc", "left_anti"), "open")
+        members = stage(members.join(lost, "doc", "left_anti"), "members")
+        edges = stage(edges.join(lost.withColumnRenamed("doc", "b"), "b", "left_anti").join(
+            lost.withColumnRenamed("doc", "a"), "a", "left_anti").select("a", "b"), "edges")
+        hubs_each = min(2 * hubs_each, MOST_HUBS)
+    return dropped
+
+
 def kept_match(conflicts: DataFrame, dropped: DataFrame) -> DataFrame:
     """For every dropped ``doc`` the first kept document with a common bucket (``kept_doc``).
 
@@ -158,8 +236,11 @@ def conflicts_of(bands: DataFrame, order_by, id_col: str) -> DataFrame:
     return stage(conflicts.withColumnRenamed("doc", "id").join(keys, "id").select("doc", "bucket"), "keyed")
 
 
-def _dropped(bands: DataFrame, order_by, id_col: str) -> DataFrame:
-    return first_wins(conflicts_of(bands, order_by, id_col))
+def _dropped(bands: DataFrame, order_by, id_col: str, cfg: DedupConfig, texts: DataFrame) -> DataFrame:
+    conflicts = conflicts_of(bands, order_by, id_col)
+    if not cfg.verify:
+        return first_wins(conflicts)
+    return first_verified_wins(conflicts, shingle_sets(texts, conflicts.select("doc").distinct(), cfg, id_col), cfg.threshold)
 
 
 def _without(df: DataFrame, dropped: DataFrame, order_by, id_col: str) -> DataFrame:
@@ -177,13 +258,18 @@ def dedup_fuzzy(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_co
     if "text" not in df.columns:
         return df
     bands = band_table(df, order_by, cfg, id_col)
-    return _without(df, _dropped(bands, order_by, id_col), order_by, id_col)
+    return _without(df, _dropped(bands, order_by, id_col, cfg, df), order_by, id_col)
 
 
 def near_dup_matches(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
-    """Each dropped document with the first kept one it collides with."""
+    """Each dropped document with the first kept one it collides with, and how similar they are:
+    ``doc``, ``kept_doc``, ``jaccard`` of their shingle sets. One pair per dropped document is
+    formed and compared. The rule is the bucket hit, whatever ``cfg.verify`` says.
+    """
     conflicts = conflicts_of(band_table(df, order_by, cfg, id_col), order_by, id_col)
-    return kept_match(conflicts, first_wins(conflicts))
+    matches = stage(kept_match(conflicts, first_wins(conflicts)).select(F.col("kept_doc").alias("a"), F.col("doc").alias("b")), "matches")
+    docs = matches.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    return with_jaccard(matches, shingle_sets(df, docs, cfg, id_col)).select(F.col("b").alias("doc"), F.col("a").alias("kept_doc"), "jaccard")
 
 
 def dedup(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str = "doc_id") -> DataFrame:
@@ -197,4 +283,4 @@ def dedup(df: DataFrame, order_by, cfg: DedupConfig = DedupConfig(), id_col: str
     if not {"text", id_col} <= set(df.columns):
         return unique
     unique = stage_bucketed(cfg.with_buckets(unique), id_col, "unique")
-    return _without(unique.drop("buckets"), _dropped(unique, order_by, id_col), order_by, id_col)
+    return _without(unique.drop("buckets"), _dropped(unique, order_by, id_col, cfg, unique), order_by, id_col)

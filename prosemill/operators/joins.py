@@ -30,6 +30,21 @@ def join_by_key(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, how
     return of_hot.unionByName(of_rest)
 
 
+def join_spread(left: DataFrame, right: DataFrame, key: str, most: int = 10_000) -> DataFrame:
+    """Join ``left`` (many rows per key, materialised) to wide rows of ``right`` (one per key).
+
+    A key with more than ``most`` rows on the left gets as many copies of its right row as
+    there are ``most`` rows, so no task takes more than about ``most`` of them, and nothing is
+    broadcast whose size is not known.
+    """
+    copies = left.groupBy(key).agg(F.ceil(F.count("*") / most).cast("int").alias("_copies"))
+    salted = right.join(copies.hint("merge"), key).select(*right.columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_salt"))
+    rest = [c for c in left.columns if c != key]
+    left = left.join(copies.where("_copies > 1").hint("merge"), key, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*rest), "_copies").cast("int"), F.lit(0)) if rest else F.lit(0))
+    return left.drop("_copies").join(salted.hint("merge"), [key, "_salt"]).drop("_salt")
+
+
 def int_median(df: DataFrame, by: str, value: str, step: float = 4096) -> DataFrame:
     """Exact median of a numeric column per group, in two levels.
 

@@ -1,5 +1,7 @@
 """Queries over whole corpora: files, deduplication, tokens, runs."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions import minhash as M
@@ -205,16 +207,35 @@ def dedup_capacity(spark, sf_dir):
     return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"], cfg).select("doc_id")
 
 
+def _verified_sql(threshold: float, **options) -> str:
+    return f"""WITH RECURSIVE uniq AS MATERIALIZED {_UNIQUE}, {S.verified_walk('uniq', threshold, **options)}
+    SELECT doc_id FROM uniq WHERE doc_id NOT IN (SELECT doc_id FROM seen WHERE NOT is_kept)"""
+
+
+@query("dedup_fuzzy_verified", _verified_sql(MD5.threshold))
+def dedup_fuzzy_verified(spark, sf_dir):
+    """Bucket hits count only if the shingle sets are similar enough."""
+    return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"], D.DedupConfig(family="md5", verify=True)).select("doc_id")
+
+
+@query("dedup_fuzzy_loose_verified", _verified_sql(LOOSE.threshold, **_LOOSE_SQL))
+def dedup_fuzzy_loose_verified(spark, sf_dir):
+    """Many collisions, most of them of texts that are not similar."""
+    return D.dedup_fuzzy(_unique(spark, sf_dir), ["doc_id"], replace(LOOSE, verify=True)).select("doc_id")
+
+
 @query("near_dup_pairs", f"""
-    WITH RECURSIVE uniq AS MATERIALIZED {_UNIQUE}, {S.walk('uniq', **_LOOSE_SQL)}
+    WITH RECURSIVE uniq AS MATERIALIZED {_UNIQUE}, {S.walk('uniq', **_LOOSE_SQL)},
+    lists AS MATERIALIZED ({S.shingle_lists('uniq', LOOSE.ngram_size)})
+    SELECT doc, kept_doc, round({S.jaccard('x.grams', 'y.grams')}, 9) AS jaccard FROM (
     SELECT l.doc_id AS doc, min(k.doc_id) AS kept_doc
     FROM bucketed l JOIN bucketed k USING (bucket)
     WHERE l.doc_id IN (SELECT doc_id FROM seen WHERE NOT is_kept)
       AND k.doc_id IN (SELECT doc_id FROM seen WHERE is_kept) AND k.doc_id < l.doc_id
-    GROUP BY l.doc_id""")
+    GROUP BY l.doc_id) JOIN lists x ON x.doc_id = doc JOIN lists y ON y.doc_id = kept_doc""")
 def near_dup_pairs(spark, sf_dir):
-    """Each dropped document with the first kept one of a common bucket."""
-    return D.near_dup_matches(_unique(spark, sf_dir), ["doc_id"], LOOSE)
+    """Each dropped document with the first kept one of a common bucket, and their similarity."""
+    return D.near_dup_matches(_unique(spark, sf_dir), ["doc_id"], LOOSE).withColumn("jaccard", F.round("jaccard", 9))
 
 
 @query("dedup_empty_passthrough", "SELECT doc_id FROM documents")

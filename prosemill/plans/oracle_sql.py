@@ -221,3 +221,35 @@ def walk(source: str, bands: int = 8, rows: int = 16, num_perm: int = 128, size:
       SELECT p.rn, CASE WHEN {free} THEN list_concat(w.held, p.bs) ELSE w.held END, {free}
       FROM walked w JOIN perdoc p ON p.rn = w.rn + 1),
     seen AS MATERIALIZED (SELECT doc_id, is_kept FROM walked JOIN perdoc USING (rn))"""
+
+
+def shingle_lists(source: str, size: int = 5) -> str:
+    """doc_id, grams rows: the shingle set of each document that has any."""
+    return f"SELECT doc_id, list(gram) AS grams FROM ({shingles(source, size)}) GROUP BY doc_id"
+
+
+def jaccard(a: str, b: str) -> str:
+    """Of two lists without repeats."""
+    both = f"len(list_intersect({a}, {b}))"
+    return f"{both}::double / (len({a}) + len({b}) - {both})"
+
+
+def verified_walk(source: str, threshold: float, bands: int = 8, rows: int = 16, num_perm: int = 128, size: int = 5, family: str = "md5") -> str:
+    """As ``walk``, but a kept document hides a later one only if their shingle sets are as
+    similar as the threshold. Ends in ``seen(doc_id, is_kept)`` of documents with such a pair."""
+    return f"""
+    bucketed AS MATERIALIZED ({buckets(source, bands, rows, num_perm, size, family)}),
+    lists AS MATERIALIZED ({shingle_lists(source, size)}),
+    hits AS MATERIALIZED (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM bucketed a JOIN bucketed b USING (bucket) WHERE a.doc_id < b.doc_id),
+    edges AS MATERIALIZED (SELECT a, b FROM hits JOIN lists x ON x.doc_id = a JOIN lists y ON y.doc_id = b
+        WHERE {jaccard('x.grams', 'y.grams')} >= {threshold}),
+    perdoc AS MATERIALIZED (
+      SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, coalesce(before, []::bigint[]) AS before
+      FROM (SELECT DISTINCT unnest([a, b]) AS doc_id FROM edges) LEFT JOIN (SELECT b AS doc_id, list(a) AS before FROM edges GROUP BY b) USING (doc_id)),
+    walked AS (
+      SELECT 0::bigint AS rn, []::bigint[] AS held, false AS is_kept
+      UNION ALL
+      SELECT p.rn, CASE WHEN NOT list_has_any(w.held, p.before) THEN list_append(w.held, p.doc_id) ELSE w.held END,
+        NOT list_has_any(w.held, p.before)
+      FROM walked w JOIN perdoc p ON p.rn = w.rn + 1),
+    seen AS MATERIALIZED (SELECT doc_id, is_kept FROM walked JOIN perdoc USING (rn))"""
