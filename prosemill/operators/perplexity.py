@@ -59,30 +59,45 @@ def perplexity_windows(df: DataFrame, windows: Windows = Windows(), id_col: str
 
 
 def bigrams(df: DataFrame, windows: Windows, id_col: str) -> DataFrame:
-    """``doc, window, first, gram``: one row per word with its predecessor in its window; the
-    first word of a document has neither predecessor nor window and is not scored."""
-    w = words(F.col("text"))
-    rows = computed_once(df.select(F.col(id_col).alias("doc"), "text"), w=w).select("doc", F.posexplode(
-        F.zip_with(F.concat(F.array(F.lit(None).cast("string")), "w"), "w", lambda a, b: F.struct(
-            a.alias("first"), b.alias("second")))).alias("pos", "pair")).where("pair.second IS NOT NULL")
-    return rows.select(
-        "doc", F.when(F.col("pos") > 0, windows.of(F.col("pos"))).alias("window"), F.col("pair.first").alias("first"),
-        F.concat_ws(" ", "pair.first", "pair.second").alias("gram"))
+    """``doc, window, first, second, gram, n``: how often a bigram is scored in a window of a
+    document, counted inside the row of the document, so that nothing is shuffled for it.
+
+    Words are their 64-bit hashes, and so is the bigram. The first word of a document has neither
+    predecessor nor window and is not scored; it comes as a row of its own.
+    """
+    def entry(i):
+        return F.struct(windows.of(i).alias("window"), F.get("ids", i - 1).alias("first"), F.get("ids", i).alias("second"))
+
+    last = F.size("ids") - 1
+    rows = df.select(F.col(id_col).alias("doc"), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("ids"))
+    rows = computed_once(rows, ids=F.col("ids")).where("size(ids) > 0")
+    pairs = F.when(last > 0, F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), entry)))
+    rows = computed_once(rows, pairs=pairs)
+    # runs of equal entries: where each begins, and how far the next one is
+    begins = F.filter(F.sequence(F.lit(0), F.size("pairs") - 1), lambda i: (i == 0) | (F.get("pairs", i) != F.get("pairs", i - 1)))
+    rows = computed_once(rows, begins=F.when(F.size("pairs") > 0, begins))
+    runs = F.transform("begins", lambda at, k: F.struct(
+        F.get("pairs", at).alias("pair"), (F.coalesce(F.get("begins", k + 1), F.size("pairs")) - at).cast("bigint").alias("n")))
+    lone = F.struct(F.struct(F.lit(None).cast("int").alias("window"), F.lit(None).cast("bigint").alias("first"), F.get("ids", F.lit(0)).alias("second")).alias("pair"),
+                    F.lit(1).cast("bigint").alias("n"))
+    return rows.select("doc", F.explode(F.array_append(F.coalesce(runs, F.array().cast(
+        "array<struct<pair:struct<window:int,first:bigint,second:bigint>,n:bigint>>")), lone)).alias("run")).select(
+        "doc", "run.pair.*", F.xxhash64("run.pair.first", "run.pair.second").alias("gram"), "run.n")
 
 
 def bigram_model(pairs: DataFrame, k: float) -> DataFrame:
-    """``gram, n, loss`` with add-k smoothing from staged bigrams. Counting combines on the
-    map side, so the corpus itself does not shuffle; every word is the second of some row,
-    so the vocabulary comes from the counts."""
-    counts = stage(pairs.groupBy("gram", "first").agg(F.count("*").alias("n")), "grams")
-    vocabulary = counts.select(F.substring_index("gram", " ", -1).alias("w")).distinct().count()
-    grams = counts.where("first IS NOT NULL")
+    """``gram, n, rows, loss`` with add-k smoothing from staged bigrams; ``rows`` of them have the
+    gram. Counting combines on the map side; every word is the second of some row, so the
+    vocabulary comes from the counts."""
+    counts = stage(pairs.groupBy("gram", "first", "second").agg(F.sum("n").alias("n"), F.count("*").alias("rows")), "grams")
+    vocabulary = counts.select("second").distinct().count()
+    grams = counts.where("first IS NOT NULL").drop("second")
     contexts = stage(grams.groupBy("first").agg(
         F.sum("n").alias("first_n"), F.count("*").alias("grams")), "contexts")
-    known = join_by_key(
-        grams, contexts.drop("grams"), "first", hot_keys(contexts, "first", "grams", grams.count()))
+    total = contexts.agg(F.coalesce(F.sum("grams"), F.lit(0))).first()[0]
+    known = join_by_key(grams, contexts.drop("grams"), "first", hot_keys(contexts, "first", "grams", total))
     smooth = (F.col("n") + k) / (F.col("first_n") + k * vocabulary)
-    return known.select("gram", "n", (-F.log(smooth)).alias("loss"))
+    return known.select("gram", "n", "rows", (-F.log(smooth)).alias("loss"))
 
 
 def perplexity(
@@ -94,19 +109,21 @@ def perplexity(
     ``scored`` names the documents to score, a part of ``df``; the model always sees
     all. A document with nothing to score has a NaN perplexity. ``weighted`` weighs
     windows by their scored tokens; without it a short last window counts like a full
-    one. Texts are cut into words once; model, vocabulary and scores read the staged bigrams.
+    one. Texts are cut into words once; model, vocabulary and scores read the staged bigrams,
+    one row for each that is distinct in a window. Bigrams are joined by 64 bits, so among
+    billions of distinct ones a few share a count.
     """
     pairs = stage(bigrams(df, windows, id_col), "pairs")
     model = stage(bigram_model(pairs, k), "model")
     docs = df if scored is None else df.join(scored.select(id_col), id_col, "left_semi")
     own = pairs if scored is None else pairs.join(scored.select(F.col(id_col).alias("doc")), "doc", "left_semi")
-    total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total = model.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     # every bigram is in the model; a left join keeps the many rows of the left side,
     # whose size the optimizer underestimates, from being broadcast
     losses = join_by_key(
-        own.where("window IS NOT NULL").select("doc", "window", "gram"), model.select("gram", "loss"), "gram",
-        hot_keys(model, "gram", "n", total), "left")
-    by_window = losses.groupBy("doc", "window").agg(F.sum("loss").alias("loss"), F.count("*").alias("tokens"))
+        own.where("window IS NOT NULL").select("doc", "window", "gram", "n"), model.select("gram", "loss"), "gram",
+        hot_keys(model, "gram", "rows", total), "left")
+    by_window = losses.groupBy("doc", "window").agg(F.sum(F.col("n") * F.col("loss")).alias("loss"), F.sum("n").alias("tokens"))
     mean = F.sum("loss") / F.sum("tokens") if weighted else F.avg(F.col("loss") / F.col("tokens"))
     by_doc = by_window.groupBy("doc").agg(F.count("*").alias("windows"), mean.alias("mean_loss"))
     return docs.select(F.col(id_col).alias("doc")).join(by_doc, "doc", "left").select(
@@ -131,10 +148,12 @@ def perplexity_stats(scores: DataFrame, by: str = "side") -> DataFrame:
     """Documents, unscored ones among them, mean and exact median of the scores. The median
     is found in two levels of counts, so no task holds the values of a group."""
     value = F.when(~F.isnan("perplexity"), F.col("perplexity"))
-    counted = scores.groupBy(by).agg(
+    facts = scores.groupBy(by).agg(
         F.count("*").alias("docs"), F.count_if(value.isNull()).alias("unscored"), F.avg(value).alias("mean"))
     middle = int_median(scores.select(by, value.alias("value")), by, "value", step=1 / 64)
-    return counted.join(middle, by, "left")
+    # both as rows of one table, merged by the key: a join would need no key if it is a constant
+    rows = facts.withColumn("median", F.lit(None).cast("double")).unionByName(middle, allowMissingColumns=True)
+    return rows.groupBy(by).agg(*(F.max(c).alias(c) for c in ("docs", "unscored", "mean", "median")))
 
 
 def perplexity_histogram(scores: DataFrame, by: str = "side", bins: int = 49, top: float = 500.0) -> DataFrame:

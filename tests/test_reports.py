@@ -8,6 +8,7 @@ from prosemill.operators import perplexity as PP
 from prosemill.operators import profile as R
 from prosemill.operators import report as V
 from prosemill.sources.jsonl import pair
+from tests.conftest import plan_of
 
 # ---------------------------------------------------------------------------- profile
 
@@ -242,3 +243,22 @@ def test_external_perplexity_model(spark):
     PP.SCORERS.register("length", PP.model_perplexity(lambda: 2.0, lambda m, texts: [m * len(t) for t in texts]))
     df = spark.createDataFrame([("abc",)], "text string")
     assert df.select(PP.SCORERS["length"](F.col("text"))["perplexity"]).first()[0] == 6.0
+
+
+def test_bigrams_are_counted_inside_the_document(spark):
+    text = "a b a b a b c a b " * 30
+    df = spark.createDataFrame([(1, text), (2, "one"), (3, ""), (4, None), (5, "x x")], "doc_id bigint, text string")
+    windows = PP.Windows(50, 20)
+    rows = PP.bigrams(df, windows, "doc_id").collect()
+    scored = [(r.doc, r.window, r.first, r.second) for r in rows if r["first"] is not None]
+    assert len(scored) == len(set(scored)) and sum(r.n for r in rows if r.doc == 1) == len(text.split())
+    assert [r.n for r in rows if r.doc == 2] == [1] and not any(r.doc in (3, 4) for r in rows)
+    plan = plan_of(PP.bigrams(df, windows, "doc_id"))
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_stats_of_a_constant_side_need_no_nested_loop(spark):
+    scores = spark.createDataFrame([(i, float(i)) for i in range(9)] + [(9, float("nan"))], "doc_id bigint, perplexity double")
+    stats = PP.perplexity_stats(scores.withColumn("side", F.lit("input")))
+    assert "NestedLoop" not in plan_of(stats)
+    assert stats.select("side", "docs", "unscored", "mean", "median").first() == ("input", 10, 1, 4.0, 4.0)
