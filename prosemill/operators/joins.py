@@ -45,6 +45,21 @@ def join_spread(left: DataFrame, right: DataFrame, key: str, most: int = 10_000)
     return left.drop("_copies").join(salted.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
+def with_terms(terms: DataFrame, table: DataFrame, key: str, hot: DataFrame, small: bool) -> DataFrame:
+    """Rows (``id``, a term under ``key``, ``rows``) with ``n``, how often, and the columns that
+    ``table`` has for the term, null for others and for a null term.
+
+    With a ``small`` table, which is broadcast, every row counts one and stays where it is. Else
+    a document's equal terms are counted before they are joined, and the table's rows of ``hot``
+    terms alone are broadcast.
+    """
+    if small:
+        return terms.withColumn("n", F.lit(1).cast("bigint")).join(F.broadcast(table), key, "left")
+    counted = terms.groupBy("id", key).agg(F.count("*").alias("n"), F.sum("rows").alias("rows"))
+    known = join_by_key(counted.where(F.col(key).isNotNull()), table, key, hot, "left")
+    return known.unionByName(counted.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def int_median(df: DataFrame, by: str, value: str, step: float = 4096) -> DataFrame:
     """Exact median of a numeric column per group, in two levels.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.language import LABEL_PREFIX, UNKNOWN
 from .ingest import computed_once
-from .joins import hot_keys, join_by_key
+from .joins import hot_keys, join_by_key, with_terms
 
 #: a model of up to so many n-grams is broadcast (some 100 bytes each); a larger one is joined by shuffles
 BROADCAST_GRAMS = 200_000
@@ -119,14 +119,8 @@ def predict_language(df: DataFrame, model: LanguageModel, id_col: str = "doc_id"
     # a row of the input counts by its first n-gram, or by the null of a text without any
     docs = docs.select("id", "gram", F.when(F.coalesce("pos", F.lit(0)) == 0, 1).otherwise(0).alias("rows"))
     table = model.grams.select("gram", model.losses(F.col("counts"), k).alias("losses"))
-    if model.vocabulary <= broadcast_grams:
-        found = docs.withColumn("n", F.lit(1)).join(F.broadcast(table), "gram", "left")
-    else:
-        counted = docs.groupBy("id", "gram").agg(F.count("*").alias("n"), F.sum("rows").alias("rows"))
-        every = model.grams.select("gram", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
-        hot = hot_keys(every, "gram", "n", sum(model.totals))
-        some = join_by_key(counted.where("gram IS NOT NULL"), table, "gram", hot, "left")
-        found = some.unionByName(counted.where("gram IS NULL").withColumn("losses", F.lit(None).cast("array<double>")))
+    every = model.grams.select("gram", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
+    found = with_terms(docs, table, "gram", hot_keys(every, "gram", "n", sum(model.totals)), model.vocabulary <= broadcast_grams)
     seen = F.when(F.col("gram").isNotNull(), F.col("n")).otherwise(0)
     unseen = [F.log(F.lit(k / (t + k * max(model.vocabulary, 1)))) for t in model.totals]
     sums = [F.sum(seen * F.coalesce(F.get("losses", i), unseen[i])).alias(f"s{i}") for i in languages]

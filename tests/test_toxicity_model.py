@@ -1,0 +1,132 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from prosemill.functions import toxicity
+from prosemill.operators import toxicity_model as M
+from prosemill.plans.toxicity_queries import _scores, toxicity_sweep
+from tests.conftest import plan_of
+
+DOCS, LABELS = "doc_id bigint, text string", "doc_id bigint, toxic int"
+SF = "/root/testdata/sf0.01"
+ROWS = [(1, "You are a clown, a CLOWN"), (2, "what a fine day it is"), (3, "fine words, fine people"), (4, "idiot clown"),
+        (5, None), (6, "no label here"), (7, "the day"), (8, "")]
+TOLD = [(1, 1), (2, 0), (3, 0), (4, 1), (5, 0), (7, 5), (None, 1), (99, 1), (8, 0)]
+
+
+def words(text):
+    return re.findall(r"\w+", (text or "").lower())
+
+
+def plain_odds():
+    label = dict(TOLD)
+    n = {k: Counter(w for i, t in ROWS if label.get(i) == k for w in words(t)) for k in (0, 1)}
+    vocabulary = set(n[0]) | set(n[1])
+    share = lambda k, w: math.log((n[k][w] + 1) / (sum(n[k].values()) + len(vocabulary)))
+    return n, {w: share(1, w) - share(0, w) for w in vocabulary}
+
+
+@pytest.fixture(scope="module")
+def model(spark, tmp_path_factory):
+    docs, labels = spark.createDataFrame(ROWS, DOCS).repartition(3), spark.createDataFrame(TOLD, LABELS)
+    return M.train_toxicity_model(docs, labels, str(tmp_path_factory.mktemp("toxic")))
+
+
+def test_counts_and_odds(model):
+    n, odds = plain_odds()
+    got = {r.word: (r.toxic, r.clean, r.odds) for r in model.words.select("*", model.odds().alias("odds")).collect()}
+    assert {w: x[:2] for w, x in got.items()} == {w: (n[1][w], n[0][w]) for w in odds}
+    assert all(got[w][2] == pytest.approx(v) for w, v in odds.items()) and (model.toxic_docs, model.clean_docs) == (2, 4)
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_scores(spark, model, limit):
+    _, odds = plain_odds()
+    df = spark.createDataFrame(ROWS + [(1, ROWS[0][1]), (None, "clown")], DOCS).withColumn("word", F.lit(1)).withColumn("n", F.lit(2))
+    got = {r.doc_id: r for r in M.score_toxicity(df, model, broadcast_words=limit).collect()}
+    assert set(got) == {i for i, _ in ROWS} | {None}
+    for i, text in ROWS:
+        logit = sum(odds.get(w, 0.0) for w in words(text)) + math.log(2 / 4)
+        assert got[i].logit == pytest.approx(logit) and got[i].score == pytest.approx(1 / (1 + math.exp(-logit)))
+
+
+def test_nothing_to_learn_from(spark, tmp_path):
+    docs = spark.createDataFrame(ROWS, DOCS)
+    assert M.train_toxicity_model(docs, spark.createDataFrame([x for x in TOLD if x[1] != 1], LABELS), str(tmp_path)) is None
+
+
+def test_sweep(spark):
+    rng = random.Random(2)
+    scores = [(i, min(1.0, max(0.0, rng.gauss(0.3 + 0.4 * (i % 3 == 0), 0.3)))) for i in range(300)]
+    labels = [(i, int(i % 3 == 0)) for i in range(0, 300, 2)] + [(1, 7)]
+    rows = M.score_sweep(spark.createDataFrame(scores, "doc_id bigint, score double"), spark.createDataFrame(labels, LABELS), steps=20).collect()
+    toxic = {i for i, k in labels if k == 1}
+    told = {i for i, k in labels if k in (0, 1)}
+    level = {i: min(19, int(s * 20)) for i, s in scores}
+    assert [r.step for r in sorted(rows)] == list(range(max(level[i] for i in told) + 1))
+    for r in rows:
+        over = {i for i in told if level[i] >= r.step}
+        assert (r.predicted, r.hits, r.toxic) == (len(over), len(over & toxic), len(toxic))
+        assert r.precision == pytest.approx(len(over & toxic) / len(over), abs=1e-6) and r.recall == pytest.approx(len(over & toxic) / len(toxic), abs=1e-6)
+
+
+def test_learned_scores_find_labelled_documents(spark):
+    rows = {r.step: r for r in toxicity_sweep(spark, SF).collect()}
+    assert rows[50].precision > 0.9 and rows[50].recall > 0.7
+    for limit in (0, 10**6):
+        plan = plan_of(_scores(spark, SF, broadcast_words=limit))
+        assert "Python" not in plan and "NestedLoop" not in plan
+
+
+def test_categories_without_labels_are_null(spark):
+    df = spark.createDataFrame([(1, 0.9), (2, 0.1)], "doc_id bigint, score double").withColumn("side", F.lit("input"))
+    rows = {r.category: r for r in M.toxicity_report(df).collect()}
+    assert len(rows) == 6 and rows["toxicity"].toxic_docs == 1 and rows["toxicity"].toxic_pct == 50.0
+    assert all(r.toxic_docs is None and r.toxic_pct is None and r.docs == 2 for c, r in rows.items() if c != "toxicity")
+
+
+TERMS = ["clown", "bad", "bad word", "bad word order", "x-rated", "word", "a b", "é", "under_score", "don't", "two  spaces", "a", "b c"]
+PIECES = [*TERMS, "Clown", "CLOWN", "badly", "words", "order", "x", "rated", "don", "t", "two", "spaces", "c", "é1", "É"]
+
+
+def sample(n=120, seed=5):
+    rng = random.Random(seed)
+    return [(i, "".join(rng.choice(PIECES) + rng.choice((" ", " ", "-", "  ", ". ", "\n", "'")) for _ in range(rng.randint(0, 25)))) for i in range(n)]
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_hits_equal_those_of_the_alternation(spark, limit):
+    docs = [*sample(), (1000, None), (1001, ""), (1002, "bad " * 5000)]
+    df = spark.createDataFrame(docs, DOCS).repartition(4)
+    lexicon = spark.createDataFrame(list(enumerate(TERMS)), "rank int, term string")
+    got = {r.doc_id: r.hits for r in M.lexicon_hits(df, lexicon, rank_col="rank", broadcast_terms=limit).collect()}
+    native = {r.doc_id: r.n for r in df.select("doc_id", F.coalesce(toxicity.hits(F.col("text"), TERMS), F.lit(0)).alias("n")).collect()}
+    assert got == native and sum(got.values()) > 300
+
+
+def test_longest_terms_come_first_without_an_order(spark):
+    lexicon = spark.createDataFrame([(t,) for t in (*TERMS, "", None, "CLOWN")], "term string")
+    got = M.lexicon_hits(spark.createDataFrame([(1, "bad word order, clown bad word x")], DOCS), lexicon).first()
+    assert got.hits == 3
+
+
+def test_large_lexicon_without_a_pattern(spark):
+    lexicon = spark.range(100_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("term")).union(
+        spark.createDataFrame([(t,) for t in TERMS], "term string"))
+    df = spark.createDataFrame([(i, f"{t} w{i} w{i}x w99999 W1") for i, t in sample(40)], DOCS)
+    native = {r.doc_id: r.n for r in df.select("doc_id", toxicity.hits(F.col("text"), sorted(TERMS, key=len, reverse=True)).alias("n")).collect()}
+    out = M.lexicon_hits(df, lexicon)
+    assert {r.doc_id: r.hits for r in out.collect()} == {i: n + 3 for i, n in native.items()}
+    assert "w99" not in plan_of(out) and "NestedLoop" not in plan_of(out) and "Python" not in plan_of(out)
+
+
+def test_empty_lexicon_and_bad_terms(spark):
+    df = spark.createDataFrame([(1, "bad")], DOCS)
+    none = spark.createDataFrame([], "term string")
+    assert M.lexicon_hits(df, none).first().hits == 0 and M.lexicon_hits(df.limit(0), none).count() == 0
+    with pytest.raises(Exception, match="begin and end"):
+        M.lexicon_hits(df, spark.createDataFrame([("-x",)], "term string")).collect()
