@@ -96,11 +96,16 @@ def integrity_scan(df: DataFrame) -> DataFrame:
         {f"{name}_pct": pct(F.col(f"{name}_docs"), F.col("docs")) for name in checks})
 
 
-def uniqueness_check(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def uniqueness_check(df: DataFrame, id_col: str = "doc_id", approximate: bool = False) -> DataFrame:
     """Rows, distinct ids, distinct texts and the duplicates among them.
 
-    Texts are compared by their SHA-256 digest, so long texts never shuffle.
+    Texts are compared by their SHA-256 digest, so long texts never shuffle. ``approximate``
+    estimates both counts from sketches, with the bound ``error_pct``; no digest is shuffled.
     """
+    if approximate:
+        from .sketches import uniqueness_report, uniqueness_sketches
+
+        return uniqueness_report(uniqueness_sketches(df, id_col))
     slim = df.select(SIDE, F.col(id_col).alias("id"), F.unhex(F.sha2("text", 256)).alias("digest"))
     return (slim.groupBy(SIDE).agg(
         F.count("*").alias("docs"), F.countDistinct("id").alias("unique_ids"),
