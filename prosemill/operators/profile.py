@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import trim_unicode
+from ..functions.text import bound, trim_unicode
 from ..sources.storage import stage
+from .ingest import computed_once
 from .joins import int_median
 
 TEXT_FIELD_MIN = 100
@@ -24,20 +25,31 @@ def malformed_count(lines: DataFrame) -> DataFrame:
     return doc.agg(F.count("*").alias("lines"), F.count_if(F.col("doc").isNull()).alias("malformed"))
 
 
-def fields(lines: DataFrame) -> DataFrame:
+def line_facts(lines: DataFrame) -> DataFrame:
+    """Per line its size in ``chars`` and ``bytes``, whether it is ``malformed``, and ``fields``,
+    one entry per top-level key (see :func:`fields`): all that the reports below need, from one
+    parse and without the values.
+    """
+    def entry(e):
+        return bound(json_type(F.schema_of_variant(e["value"])), lambda kind: bound(
+            F.when(kind == "string", e["value"].cast("string")), lambda string: F.struct(
+                e["key"].alias("key"), kind.alias("type"), F.length(string).cast("bigint").alias("chars"),
+                ((kind == "null") | F.coalesce(F.length(trim_unicode(string)) == 0, F.lit(False))).alias("blank"))))
+
+    doc = computed_once(parsed(lines), doc=F.col("doc"))
+    keyed = F.map_entries(F.try_variant_get(F.col("doc"), "$", "map<string,variant>"))
+    return doc.select(
+        F.length("value").cast("bigint").alias("chars"), F.octet_length("value").cast("bigint").alias("bytes"),
+        F.col("doc").isNull().alias("malformed"), F.transform(keyed, entry).alias("fields"))
+
+
+def fields(facts: DataFrame) -> DataFrame:
     """One row per document and top-level key: ``key, type, chars, blank``.
 
     ``type`` is string, number, bool, array, object or null; ``chars`` the length of
     a string value, else null; ``blank`` tells a null or whitespace-only value.
     """
-    exploded = lines.sparkSession.sql(
-        "SELECT key, value AS item FROM {docs}, LATERAL variant_explode(doc) WHERE key IS NOT NULL",
-        docs=parsed(lines).where("doc IS NOT NULL").select("doc"))
-    kind = json_type(F.schema_of_variant("item"))
-    string = F.when(kind == "string", F.col("item").cast("string"))
-    return exploded.select(
-        "key", kind.alias("type"), F.length(string).cast("bigint").alias("chars"),
-        ((kind == "null") | F.coalesce(F.length(trim_unicode(string)) == 0, F.lit(False))).alias("blank"))
+    return facts.select(F.inline("fields"))
 
 
 def json_type(schema: Column) -> Column:
@@ -48,8 +60,13 @@ def json_type(schema: Column) -> Column:
 
 def field_stats(lines: DataFrame) -> DataFrame:
     """Counts per key and type; the reports below are small queries on top of it."""
+    return field_counts(line_facts(lines))
+
+
+def field_counts(facts: DataFrame) -> DataFrame:
+    """As :func:`field_stats`, from the facts of lines."""
     long_text = F.when(F.col("chars") > TEXT_FIELD_MIN, F.col("chars"))
-    return fields(lines).groupBy("key", "type").agg(
+    return fields(facts).groupBy("key", "type").agg(
         F.count("*").alias("n"), F.count_if("blank").alias("blank"),
         F.count(long_text).alias("long_n"), F.sum(long_text).alias("long_sum"),
         F.min(long_text).alias("long_min"), F.max(long_text).alias("long_max"))
@@ -102,27 +119,20 @@ def metadata_coverage(stats: DataFrame, total: int) -> DataFrame:
     return known.orderBy("key")
 
 
-def line_facts(lines: DataFrame) -> DataFrame:
-    """Per line its size in characters and bytes and whether it is malformed: all that
-    the reports below need, in a few bytes per document."""
-    return parsed(lines).select(
-        F.lit("all").alias("scope"), F.length("value").cast("bigint").alias("chars"),
-        F.octet_length("value").cast("bigint").alias("bytes"), F.col("doc").isNull().alias("malformed"))
-
-
 def doc_size_stats(lines: DataFrame) -> DataFrame:
     """Line sizes in characters and bytes: mean, median (exact), min, max."""
-    return size_stats(stage(line_facts(lines), "sizes"))
+    sizes = lines.select(F.length("value").cast("bigint").alias("chars"), F.octet_length("value").cast("bigint").alias("bytes"))
+    return size_stats(stage(sizes, "sizes"))
 
 
 def size_stats(facts: DataFrame) -> DataFrame:
-    base = facts.groupBy("scope").agg(*[
-        agg.alias(f"{name}_{col}")
-        for col in ("chars", "bytes")
-        for name, agg in (("mean", F.round(F.avg(col), 4)), ("min", F.min(col)), ("max", F.max(col)))])
-    for col in ("chars", "bytes"):
-        base = base.join(int_median(facts, "scope", col).withColumnRenamed("median", f"median_{col}"), "scope")
-    return base.drop("scope")
+    """One row of both sizes. They are rows of one table until the end, so that one count in two
+    levels finds both medians."""
+    each = facts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("size"), F.col(c).alias("value")) for c in ("chars", "bytes")))).alias("s")).select("s.*")
+    plain = each.groupBy("size").agg(F.round(F.avg("value"), 4).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"))
+    rows = plain.withColumn("median", F.lit(None).cast("double")).unionByName(int_median(each, "size", "value"), allowMissingColumns=True)
+    return rows.groupBy().agg(*(
+        F.max(F.when(F.col("size") == c, F.col(name))).alias(f"{name}_{c}") for c in ("chars", "bytes") for name in ("mean", "min", "max", "median")))
 
 
 def size_class(mean_chars: Column) -> Column:
@@ -153,17 +163,17 @@ def profile_corpus(lines: DataFrame) -> DataFrame:
     """The whole profile as one row: text field, number of fields, which metadata keys
     occur, sizes, quality counts. The fields themselves: :func:`json_key_frequency`.
     """
-    stats = stage(field_stats(lines), "fields")  # one row per key and type
-    sizes = stage(line_facts(lines), "sizes")
+    lines = stage(line_facts(lines), "lines")  # the one parse
+    stats = stage(field_counts(lines), "fields")  # one row per key and type
     text_field = recommend_text_field(stats).first()["text_field"]
     known = F.when(F.col("key").isin(*P.METADATA_KEYS), F.col("key"))
     facts = {
         **stats.agg(F.countDistinct("key").alias("fields"),
                     F.array_sort(F.collect_set(known)).alias("metadata_fields")).first().asDict(),
-        **sizes.agg(F.count("*").alias("lines"), F.count_if("malformed").alias("malformed")).first().asDict(),
+        **lines.agg(F.count("*").alias("lines"), F.count_if("malformed").alias("malformed")).first().asDict(),
         "empty_docs": empty_text_count(stats, text_field).first()[0] if text_field else 0,
     }
-    out = size_stats(sizes).select(
+    out = size_stats(lines).select(
         F.lit(text_field).cast("string").alias("text_field"),
         F.array(*map(F.lit, facts.pop("metadata_fields"))).cast("array<string>").alias("metadata_fields"),
         *[F.lit(value).cast("bigint").alias(name) for name, value in facts.items()], "*")

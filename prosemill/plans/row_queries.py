@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import language, markup, pii, toxicity
 from ..functions import patterns as P
 from ..functions import text as X
-from ..functions.scoring import batch_scorer
+from ..functions.scoring import LetterModel, batch_scorer
 from ..operators import dedup as D
 from ..operators import ingest as I
 from ..operators import quality as Q
@@ -147,6 +147,18 @@ def batch_inference(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", scorer(F.col("text"))["score"].alias("score"))
 
 
+# whole numbers over eight, so that sums are exact in any order
+_WEIGHTS = [(7 * i % 17 - 8) / 8 for i in range(26)]
+_LETTERS = " + ".join(f"{w}::double * (length(text) - length(replace(text, '{c}', '')))" for c, w in zip(LetterModel.LETTERS, _WEIGHTS))
+
+
+@query("batch_inference_matrix", f"SELECT doc_id, {_LETTERS} AS score FROM documents")
+def batch_inference_matrix(spark, sf_dir):
+    """A model of matrices over padded texts, called for at most 200,000 padded characters at a time."""
+    scorer = batch_scorer(lambda: LetterModel(_WEIGHTS), lambda model, texts: model(texts), "score double", max_chars=200_000)
+    return documents(spark, sf_dir).select("doc_id", scorer(F.col("text"))["score"].alias("score"))
+
+
 @query("source_tag", "SELECT 'documents.parquet' AS source, count(*) AS docs FROM documents")
 def source_tag(spark, sf_dir):
     return I.ingest(documents(spark, sf_dir), RAW_ONLY).groupBy("source").agg(F.count("*").alias("docs"))

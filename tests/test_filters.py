@@ -202,3 +202,38 @@ def test_language_runs_before_the_costly_filters(spark):
     lang = next(i for i, line in enumerate(lines) if "__label__fr" in line)
     toxic = next(i for i, line in enumerate(lines) if "wetback" in line)
     assert toxic < lang  # higher in the plan: later
+
+
+def test_batches_by_characters():
+    import random
+
+    from prosemill.functions.scoring import char_batches
+
+    rng = random.Random(1)
+    texts = ["x" * rng.choice((0, 1, 5, 30, 400)) for _ in range(200)] + ["y" * 5000]
+    for most, size in ((1000, None), (1000, 7), (1, None), (10**9, None)):
+        batches = char_batches(texts, most, size)
+        assert sorted(i for b in batches for i in b) == list(range(len(texts)))
+        for b in batches:
+            longest = max(len(texts[i]) for i in b)
+            assert len(b) == 1 or longest * len(b) <= most
+            assert size is None or len(b) <= size
+    assert char_batches([], 10) == [] and len(char_batches(texts, 10**9)) == 1
+
+
+def test_scores_do_not_depend_on_the_batches(spark):
+    from prosemill.functions.scoring import LetterModel, batch_scorer
+
+    weights = [i / 8 for i in range(26)]
+    texts = ["", None, "abc", "ABC é🙂 zz", "q" * 3000] + ["word " * (i % 40) for i in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3)
+    want = {i: sum(weights[ord(c) - 97] for c in t or "" if "a" <= c <= "z") for i, t in enumerate(texts)}
+    for most in (1, 500, 10**6, None):
+        def bounded(model, own, most=most):
+            assert most is None or len(own) == 1 or len(own) * max(map(len, own)) <= most
+            return model(own)
+
+        scorer = batch_scorer(lambda: LetterModel(weights), bounded, "score double", max_chars=most)
+        assert {r.i: r.s for r in df.select("i", scorer("t")["score"].alias("s")).collect()} == want
+    with pytest.raises(Exception, match="0 results"):
+        df.select(batch_scorer(lambda: None, lambda m, own: [], "score double")("t")).collect()

@@ -262,3 +262,22 @@ def test_stats_of_a_constant_side_need_no_nested_loop(spark):
     stats = PP.perplexity_stats(scores.withColumn("side", F.lit("input")))
     assert "NestedLoop" not in plan_of(stats)
     assert stats.select("side", "docs", "unscored", "mean", "median").first() == ("input", 10, 1, 4.0, 4.0)
+
+
+def test_profile_of_values_that_are_no_objects(spark):
+    values = ["[1, 2]", "5", '"s"', "null", "true", "{}", '{"a": {"b": 1}, "": 2, "é \\" k": " "}', "", "broken"]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "value string")
+    assert sorted(map(tuple, R.fields(R.line_facts(df)).collect())) == [
+        ("", "number", None, False), ("a", "object", None, False), ('é " k', "string", 1, True)]
+    row = R.profile_corpus(df).first()
+    assert (row.lines, row.malformed, row.fields) == (10, 3, 3)
+
+
+def test_profile_parses_a_line_once(spark, lines, monkeypatch):
+    staged = []
+    plain = R.stage
+    monkeypatch.setattr(R, "stage", lambda df, name: staged.append((name, plan_of(df))) or plain(df, name))
+    out = R.profile_corpus(lines)
+    parses = {name: plan.count("try_parse_json") + plan.count("parseJson(") for name, plan in staged}
+    assert parses["lines"] >= 1 and all(n == 0 for name, n in parses.items() if name != "lines")
+    assert "arse" not in plan_of(out).lower().replace("parsed", "") and "Python" not in plan_of(out)
