@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from prosemill.llm.decontaminate import decontaminate, find_leaks, op5_template_decontamination, tokens_of
@@ -25,7 +26,35 @@ def test_reparameterised_questions_are_found_and_inconsistent_ones_are_not(spark
     got = leaks(spark, texts, [(7, ITEM)])
     assert got[0] == [(7, True)] and got[1] == [(7, False)]
     assert 2 not in got and not set(got) & {5, 6, 7, 8}
-    assert got[4] == [(7, True)]
+    assert got[4] == [(7, True)] and got[3] == [(7, True)]
+
+
+def test_names_in_any_case(spark):
+    shout = ITEM.replace("60", "75").replace("9", "11").upper()
+    one = ITEM.replace("Boston", "boston")
+    texts = [ITEM.upper(), ITEM.lower(), "so. " + shout + " AND MORE", one, ITEM.title(), ITEM.upper().replace("ALICE SLEEPS 60", "ALICE SLEEPS 61")]
+    got = leaks(spark, texts, [(7, ITEM)])
+    assert got[0] == got[1] == [(7, True)] and got[2] == [(7, False)] and got[3] == [(7, True)]
+    assert 5 not in got  # the two numbers that are one in the item differ
+
+
+def test_windows_through_a_shuffle_find_the_same(spark, monkeypatch):
+    import prosemill.llm.decontaminate as M
+
+    texts = [ITEM, ITEM.upper(), "nothing here at all, of any kind", ITEM.replace("60", "75").replace("Alice", "Bob"), ITEM.replace("Alice sleeps", "Carol sleeps")]
+    want = leaks(spark, texts, [(7, ITEM), (8, "one two three four five")])
+    monkeypatch.setattr(M, "BROADCAST_WINDOWS", 0)
+    assert leaks(spark, texts, [(7, ITEM), (8, "one two three four five")]) == want and set(want) == {0, 1, 3}
+
+
+def test_a_column_of_that_name(spark):
+    df = spark.createDataFrame([(1, ITEM, 5), (2, "clean", 6)], "doc_id bigint, text string, leaks int")
+    items = spark.createDataFrame([("a", ITEM)], "item_id string, text string")
+    assert [tuple(r) for r in decontaminate(df, items).collect()] == [(2, "clean", 6)]
+    assert {r.doc_id: r.found and r.found[0].item_id for r in find_leaks(df, items, leaks_col="found").collect()} == {1: "a", 2: None}
+    assert find_leaks(df, items.limit(0), leaks_col="found").dtypes == find_leaks(df, items, leaks_col="found").dtypes
+    with pytest.raises(ValueError, match="leaks"):
+        find_leaks(df, items)
 
 
 def test_short_items_shared_windows_and_repeats(spark):
