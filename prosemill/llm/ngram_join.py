@@ -282,18 +282,23 @@ def candidates_across(posts: DataFrame, roots: DataFrame) -> DataFrame:
     return met.select(F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y")).distinct()
 
 
+#: characters of text for each fragment, and shingles of remaining sets for each part, at most
+_FRAGMENT_CHARS, _PART_SHINGLES = 20_000_000, 2_000_000
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
                width: int = 5, fragments: int | None = None, slices: int = 8) -> tuple[DataFrame, DataFrame]:
     """Documents grouped by links of at least ``percent`` Jaccard similarity of shingle sets.
 
     Returns two tables: per input row its id, ``n_shingles``, ``component_id`` (the
     smallest id reachable by links, its own included), ``h`` (hash of the text) and ``root``
-    (128-bit name of the component, null without shingles), and the verified links between
-    representatives of different sets (``x``, ``y``: 128-bit names of sets) that connect
-    the components.
+    (128-bit name of the component, null without shingles), and the verified links that connect
+    the components (``x``, ``y``: 128-bit names of different sets). These are enough to span each
+    component, not all links in it: sets that are connected already form no further pairs.
 
-    ``fragments``: cuts of the global order while sets are sifted, by default four for each
-    shuffle partition. Only thresholds of 80 or more are supported, as the bounds assume it.
+    ``fragments``: cuts of the global order while sets are sifted, by default by the characters
+    of all texts. Groups that a task takes whole hold a few million shingles, however large the
+    input is. Only thresholds of 80 or more are supported, as the bounds assume it.
 
     Null, empty and blank texts have no shingles and are components of their own, and so is
     a row with a null id, whose component is that of its text's other rows, or null. Rows
@@ -303,7 +308,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if percent < 80:
         raise ValueError("the bounds of this join hold for 80 percent or more")
     spark = docs.sparkSession
-    fragments = fragments or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if fragments is None:
+        chars = docs.agg(F.coalesce(F.sum(F.length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
+        fragments = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), chars // _FRAGMENT_CHARS + 1)
     rows = docs.select(F.col(id_col).cast(_LONG).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     tally = stage(
@@ -314,11 +321,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.max("n").alias("n"), F.min("id").alias("id"), F.min_by("h", F.struct("id", "h")).alias("h"))
     shared = tally.where("shared IS NOT NULL").groupBy("p").agg(F.sum("shared").alias("shared"))
     need = F.greatest(F.lit(1), F.ceil(F.ceil(4 * F.col("n") / 5) / 10))
-    left = stage(classes.join(shared, "p").where(F.col("shared") >= need).select("id", "h"), "left")
+    left = stage(classes.join(shared, "p").where(F.col("shared") >= need).select("id", "h", "n"), "left")
+    shingles = left.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(4 * slices, shingles // _PART_SHINGLES + 1)
 
     # merged at every size: a broadcast that fits small inputs only would hide this shuffle
     texts = rows.join(left.hint("merge"), rows["id"].eqNullSafe(left["id"]) & (rows["h"] == left["h"]), "left_semi").select("text")
-    cut = texts.mapInArrow(_slices(4 * slices, width), _SLICE).dropDuplicates(["node", "part"])
+    cut = texts.mapInArrow(_slices(parts, width), _SLICE).dropDuplicates(["node", "part"])
     shared = cut.groupBy("part").applyInArrow(
         _frequencies, "node binary, n bigint, grams array<bigint>, df array<bigint>")
     sets = stage(shared.groupBy("node").agg(

@@ -115,3 +115,28 @@ def test_keep_one_row_of_each_component(spark, near):
     odd = [(None, "a b c"), (None, "a b c"), (3, "a b c"), (3, "a b c"), (3, "x y z"), (4, None), (4, None), (None, "q r"), (None, "q r")]
     kept = sorted(map(tuple, keep_one(spark.createDataFrame(odd, SCHEMA)).collect()), key=repr)
     assert kept == sorted([(3, "a b c"), (3, "x y z"), (4, None), (4, None), (None, "q r")], key=repr)
+
+
+def test_groups_follow_the_data(spark, monkeypatch):
+    import random
+
+    import prosemill.llm.ngram_join as M
+
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(900)}" for _ in range(60)] for _ in range(5)]
+    docs = [(i, " ".join(w if rng.random() > 0.02 else "x" + w for w in rng.choice(base))) for i in range(120)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = ngram_groups(docs)
+    cut, plain, sizes = [], M._slices, []
+    monkeypatch.setattr(M, "_FRAGMENT_CHARS", 500)
+    monkeypatch.setattr(M, "_PART_SHINGLES", 50)
+    monkeypatch.setattr(M, "_slices", lambda parts, width: cut.append(parts) or plain(parts, width))
+    monkeypatch.setattr(M, "_map_side", lambda fragments, width, plain=M._map_side: sizes.append(fragments) or plain(fragments, width))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        rows = M.ngram_join(df)[0].collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+    assert sizes == [sum(len(t) for _, t in docs) // 500 + 1] and cut[0] > 60
