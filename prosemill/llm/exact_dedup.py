@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import hot_keys, join_by_key
 from ..sources.storage import stage
 from .registry import query, table
 
@@ -106,6 +107,10 @@ def _answers(owners: int):
     return run
 
 
+#: rows for each owner of fingerprints, at most
+_OWN = 2_000_000
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None) -> DataFrame:
     """Per input row: id, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
 
@@ -115,10 +120,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays. ``keep_id`` is the id of the row that stays (null if that row has none). Extra
     columns are ignored; an empty table gives an empty one.
 
-    ``owners``: ranges of fingerprints, by default two for each shuffle partition.
+    ``owners``: ranges of fingerprints, by default by the number of rows, so that an owner decodes
+    two million of them at most, however large the input is.
     """
     spark = docs.sparkSession
-    owners = owners or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if owners is None:
+        owners = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // _OWN + 1)
     plain = F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
@@ -146,7 +153,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # counted before the join, so that a large group comes as one row per task
     keep = each.groupBy("digest").agg(F.min(best).alias("best"), F.count("*").alias("group_size")).where(
         "group_size > 1").join(verified.select("digest"), "digest", "left_semi")
-    out = each.join(keep, "digest", "left")
+    keep = stage(keep, "keep")
+    hot = hot_keys(keep, "digest", "group_size", keep.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0])
+    out = join_by_key(each, keep, "digest", hot, "left")
     lone = F.col("best").isNull()
     return out.select(
         F.col("id").alias(id_col), F.when(lone, F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),

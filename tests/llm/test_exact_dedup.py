@@ -47,3 +47,20 @@ def test_golomb_round_trip():
             coded = golomb_encode(values, 5)
             assert (golomb_decode(coded, 5) == values).all()
     assert len(golomb_encode(np.sort(rng.integers(0, 1 << 48, 200_000)), 0)) < 200_000 * 4.2
+
+
+def test_owners_follow_the_rows(spark, monkeypatch):
+    import prosemill.llm.exact_dedup as M
+
+    docs = [(i, f"text {i % 700}") for i in range(1000)] + [(5000 + i, "hot  text") for i in range(900)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = sorted(map(tuple, M.exact_dedup(df).collect()))
+    seen, plain = [], M._answers
+    monkeypatch.setattr(M, "_OWN", 50)
+    monkeypatch.setattr(M, "_answers", lambda owners: seen.append(owners) or plain(owners))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        assert sorted(map(tuple, M.exact_dedup(df).collect())) == want and seen == [1900 // 50 + 1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
