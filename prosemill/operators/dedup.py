@@ -21,6 +21,9 @@ from .ingest import computed_once
 from .joins import hot_keys, join_by_key, join_spread
 
 
+INGEST_TIME = "ingest_time"
+
+
 @dataclass(frozen=True)
 class DedupConfig:
     enabled: bool = True
@@ -52,7 +55,8 @@ class DedupConfig:
 
 def dedup_exact(df: DataFrame, order_by, id_col: str = "doc_id") -> DataFrame:
     """One row per id: the first in ``order_by`` order; a hash of the remaining columns
-    breaks ties, so that no text is a sort key.
+    breaks ties, so that no text is a sort key. The time of ingestion is not among them: it
+    would let each run keep another copy.
 
     Each map task already reduces an id to one row (the group limit below the
     shuffle), so an id that holds a third of all rows costs its reducer one row per
@@ -60,7 +64,7 @@ def dedup_exact(df: DataFrame, order_by, id_col: str = "doc_id") -> DataFrame:
     """
     if id_col not in df.columns:
         return df
-    rest = [c for c in df.columns if c not in {id_col, *order_by} and _orderable(df, c)]
+    rest = [c for c in df.columns if c not in {id_col, INGEST_TIME, *order_by} and _orderable(df, c)]
     first = Window.partitionBy(id_col).orderBy(*order_by, F.xxhash64(*rest) if rest else id_col)
     return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 

@@ -31,6 +31,15 @@ def test_exact_ties_in_the_order_key_still_leave_one_row(spark):
     assert len(urls) == 1 and urls < {"u1", "u2"}
 
 
+def test_the_time_of_ingestion_does_not_choose_a_copy(spark):
+    rows = [("a", f"u{i}") for i in range(12)]
+    kept = set()
+    for now in range(12):
+        df = spark.createDataFrame(rows, "doc_id string, url string").withColumn("ingest_time", F.lit(float(now)))
+        kept.add(D.dedup_exact(df.repartition(3), []).first().url)
+    assert len(kept) == 1
+
+
 def test_q4_ids_describe_the_ingested_text(spark):
     from prosemill.operators.ingest import IngestConfig, ingest
     from prosemill.operators.quality import quality_filter
