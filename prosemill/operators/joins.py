@@ -45,6 +45,23 @@ def join_spread(left: DataFrame, right: DataFrame, key: str, most: int = 10_000)
     return left.drop("_copies").join(salted.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
+def join_salted(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, total: int, how: str = "inner") -> DataFrame:
+    """As :func:`join_by_key` with one shuffle, for a ``left`` that is costly to evaluate twice.
+
+    ``counts`` has the number ``n`` of left rows of each key, ``total`` in all. The right row of a
+    hot key is copied as often as 1/HOT_SLICES of all rows go into its own; the left rows are
+    dealt out over the copies.
+    """
+    hot = counts.where(F.col("n") * F.lit(HOT_SLICES) > F.lit(total)).select(
+        key, F.ceil(F.col("n") * F.lit(HOT_SLICES) / F.lit(max(total, 1))).cast("int").alias("_copies"))
+    rest = [c for c in left.columns if c != key]
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*rest), "_copies").cast("int"), F.lit(0)) if rest else F.lit(0)).drop("_copies")
+    copied = right.join(F.broadcast(hot), key, "left").select(
+        *right.columns, F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)).alias("_salt"))
+    return dealt.join(copied.hint("merge"), [key, "_salt"], how).drop("_salt")
+
+
 def with_terms(terms: DataFrame, table: DataFrame, key: str, hot: DataFrame, small: bool) -> DataFrame:
     """Rows (``id``, a term under ``key``, ``rows``) with ``n``, how often, and the columns that
     ``table`` has for the term, null for others and for a null term.

@@ -129,6 +129,21 @@ def test_join_spread_equals_a_join(spark):
     assert "NestedLoop" not in plan_of(join_spread(left, right, "k"))
 
 
+@pytest.mark.parametrize("slices", [2, 50, 5000])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_join_salted_equals_a_join(spark, monkeypatch, how, slices):
+    import prosemill.operators.joins as J
+
+    monkeypatch.setattr(J, "HOT_SLICES", slices)
+    left = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(600)], "k bigint, v bigint")
+    right = spark.createDataFrame([(i, -i) for i in range(0, 600, 2)] + [(1, 7)], "k bigint, w bigint")
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    got = J.join_salted(left, right, "k", counts, 600, how)
+    want = left.join(right, "k", how)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_configuration(spark):
     cfg = C.from_dict({"ingestion": {"input_path": "x"}, "deduplication": {"verify": True}})
     assert cfg.deduplication.verify and not D.DedupConfig().verify
