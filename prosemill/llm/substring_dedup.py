@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import hot_keys, join_by_key
+from ..operators.joins import hot_keys, join_by_key, join_salted
 from ..sources.storage import stage
 from .registry import query, table
 
@@ -135,9 +135,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "id", F.xxhash64("text").alias("h"), "text")
     again = stage(rows.select("text").mapInArrow(_prints(fragments, unit), "part int, prints binary, times binary").groupBy("part").applyInArrow(
         _again, "print bigint, n bigint"), "again")
-    hot = hot_keys(again, "print", "n", again.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    # merged at every size: repeated units are a share of all units
-    found = join_by_key(rows.mapInArrow(_places(unit), _PLACE), again.select("print").hint("merge"), "print", hot, "left_semi")
+    # one pass over the texts, merged at every size: repeated units are a share of all units
+    found = join_salted(rows.mapInArrow(_places(unit), _PLACE), again.select("print"), "print", again,
+                        again.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], "left_semi")
     places = stage(found.drop("print"), "places")
     rank = F.struct(F.col("id").isNull().alias("z"), "id", "h", "no", "start")
     firsts = stage(places.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
