@@ -9,15 +9,17 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import shingles
+from .text import bound, shingles
 
 # Hash families: how a shingle becomes an integer h, and how permutation i maps it.
 #   sha1: h = first 4 bytes (little-endian) of SHA-1;
 #         ((a*h + b) mod 2^64 mod (2^61 - 1)) mod 2^32, a and b drawn by a seeded generator
+#   xxhash64: h = the low 32 bits of Spark's xxhash64, native and without strings; permutations as
+#         for sha1
 #   md5:  h = first 7 hex digits of MD5; (a*h + b) mod (2^31 - 1), a and b from MD5 of
 #         "seed:a:i" and "seed:b:i"; every step fits in a signed 64-bit integer, so plain
 #         SQL computes the same signatures
-FAMILIES = ("sha1", "md5")
+FAMILIES = ("sha1", "xxhash64", "md5")
 _MERSENNE_61, _MERSENNE_31 = np.uint64((1 << 61) - 1), np.int64((1 << 31) - 1)
 
 
@@ -44,7 +46,7 @@ def best_bands(threshold: float, num_perm: int) -> tuple[int, int]:
 
 @lru_cache(maxsize=8)
 def coefficients(family: str, num_perm: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    if family == "sha1":
+    if family in ("sha1", "xxhash64"):
         draw = np.random.RandomState(seed)
         pairs = [
             (draw.randint(1, _MERSENNE_61, dtype=np.uint64), draw.randint(0, _MERSENNE_61, dtype=np.uint64))
@@ -66,8 +68,13 @@ def shingle_hashes(text: F.Column, ngram: int = 5, family: str = "sha1") -> F.Co
     """Hash h of every distinct shingle of a text column, as array<bigint>."""
     if family == "sha1":
         def base(gram):
-            digest = F.sha1(gram)
-            return F.conv(F.concat(*(F.substring(digest, i, 2) for i in (7, 5, 3, 1))), 16, 10).cast("bigint")
+            # the first four bytes as one number, then in the other order
+            return bound(F.conv(F.substring(F.sha1(gram), 1, 8), 16, 10).cast("bigint"), lambda x: (
+                F.shiftleft(x.bitwiseAND(F.lit(0xFF)), 24) + F.shiftleft(x.bitwiseAND(F.lit(0xFF00)), 8)
+                + F.shiftright(x, 8).bitwiseAND(F.lit(0xFF00)) + F.shiftright(x, 24)))
+    elif family == "xxhash64":
+        def base(gram):
+            return F.xxhash64(gram).bitwiseAND(F.lit(0xFFFFFFFF))
     elif family == "md5":
         def base(gram):
             return F.conv(F.substring(F.md5(gram), 1, 7), 16, 10).cast("bigint")
@@ -79,12 +86,12 @@ def shingle_hashes(text: F.Column, ngram: int = 5, family: str = "sha1") -> F.Co
 def signature(base: np.ndarray, family: str, num_perm: int, seed: int, chunk: int = 256) -> np.ndarray:
     """Minimum of every permutation over the hashes, a cache-sized chunk at a time."""
     a, b = coefficients(family, num_perm, seed)
-    base = base.astype(np.uint64 if family == "sha1" else np.int64)
+    base = base.astype(np.int64 if family == "md5" else np.uint64)
     lows = []
     for i in range(0, len(base), chunk):
         x = base[i : i + chunk, None] * a
         x += b
-        if family == "sha1":
+        if family != "md5":
             # x mod (2^61 - 1) without a division: fold the high bits, subtract at most once
             other = x >> np.uint64(61)
             x &= _MERSENNE_61

@@ -8,7 +8,7 @@ from ..operators.report import uniqueness_check
 from ..sources.storage import scratch_path, stage
 from . import oracle_sql as S
 from .registry import documents, query
-from .report_queries import _LINES, lines
+from .report_queries import _LINES, _PERPLEXITY, _scores, lines
 from .row_queries import SIDES_SQL, sides
 
 _SHARES = (0.25, 0.5, 0.75, 0.95)
@@ -63,6 +63,18 @@ def length_sketch_merged(spark, sf_dir):
     return _ranked(stage(K.quantile_report(merged, _SHARES), "report"), _long(rows, measures), K.rank_error())
 
 
+@query("perplexity_sketch", f"""{_PERPLEXITY}
+    SELECT 'input' AS side, 'perplexity' AS measure, count(*) AS docs, round(avg(perplexity), 4) AS mean, round(min(perplexity), 4) AS least,
+        round(max(perplexity), 4) AS most, {_INSIDE} FROM documents LEFT JOIN scores USING (doc_id)""")
+def perplexity_sketch(spark, sf_dir):
+    """Perplexities from a sketch; documents without a score count as such only."""
+    scores = stage(_scores(spark, sf_dir), "scores")
+    measures = {"perplexity": F.col("perplexity")}
+    report = stage(K.quantile_report(K.quantile_sketches(scores, measures), _SHARES), "report")
+    values = _long(scores.where("NOT isnan(perplexity)"), measures)
+    return _ranked(report, values, K.rank_error()).withColumns({c: F.round(c, 4) for c in ("least", "most")})
+
+
 @query("uniqueness_approx", f"""
     SELECT side, count(*) AS docs, count(DISTINCT doc_id) AS unique_ids, count(DISTINCT text) AS unique_texts,
            count(*) - count(DISTINCT text) AS duplicate_texts,

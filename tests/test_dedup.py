@@ -120,6 +120,17 @@ def test_signature_column_and_families(spark, apply):
         M.shingle_hashes(F.col("text"), 5, "crc")
 
 
+def test_native_hash_family(spark, apply):
+    text = "the quick brown fox jumps over the lazy dog"
+    (grams,) = apply(X.shingles, [text])
+    (hashes,) = apply(lambda c: M.shingle_hashes(c, family="xxhash64"), [text])
+    native = {r.g: r.h & 0xFFFFFFFF for r in spark.createDataFrame([(g,) for g in grams], "g string").select("g", F.xxhash64("g").alias("h")).collect()}
+    assert hashes == [native[g] for g in grams]
+    prime, (a, b) = (1 << 61) - 1, M.coefficients("xxhash64", 16, 42)
+    want = [min((((int(x) * h + int(y)) % (1 << 64)) % prime) & 0xFFFFFFFF for h in hashes) for x, y in zip(a, b)]
+    assert M.signature(np.array(hashes), "xxhash64", 16, 42).tolist() == want
+
+
 def test_no_text_enters_python(spark):
     df = spark.createDataFrame([(1, "a b c d e f")], "doc_id bigint, text string")
     plan = plan_of(D.DedupConfig().with_buckets(df).select("doc_id", "buckets"))
