@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..sources.storage import stage
 from .ingest import computed_once
-from .joins import hot_keys, join_by_key, with_terms
+from .joins import hot_keys, join_by_key, join_salted, with_terms
 from .report import SIDE, pct
 
 #: a table of up to so many words or terms is broadcast (some 50 bytes each)
@@ -144,13 +144,30 @@ def _gaps(text: str) -> Column:
     return F.split(F.lower(F.col(text)), r"[\p{L}\p{N}_]+")
 
 
+def word_places(docs: DataFrame) -> DataFrame:
+    """``id, head, at``: a row for each distinct word of a text, with its places in ascending order.
+
+    Words are sorted inside the row, so the work grows with the words of a text and their
+    logarithm, however many of them a lexicon has.
+    """
+    rows = computed_once(docs.select("id", tokens(F.col("text")).alias("words")), words=F.col("words")).where("size(words) > 0")
+    rows = computed_once(rows, words=F.sort_array(F.transform("words", lambda w, i: F.struct(w.alias("head"), i.alias("at")))))
+    begins = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (i == 0) | (
+        F.get("words", i)["head"] != F.get("words", i - 1)["head"]))
+    rows = computed_once(rows, begins=begins)
+    runs = F.transform("begins", lambda b, k: F.struct(F.get("words", b)["head"].alias("head"), F.slice(
+        "words", b + 1, F.coalesce(F.get("begins", k + 1), F.size("words")) - b)["at"].alias("at")))
+    return rows.select("id", F.inline(runs))
+
+
 def lexicon_hits(df: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text", term_col: str = "term",
                  rank_col: str | None = None, broadcast_terms: int = BROADCAST_WORDS) -> DataFrame:
     """``id, hits`` of each id: whole-word matches of a table of terms, in any case.
 
     They are the matches of the alternation of all terms in the order of ``rank_col`` between word
     boundaries: from left to right, none overlapping another. No pattern is built. Words of a
-    document that begin no term are left behind by the first join; up to ``broadcast_terms`` first
+    document that begin no term are left behind by the first join, and the places of the others
+    come out of it, so no text is searched for them again; up to ``broadcast_terms`` first
     words are broadcast, beyond that words that many documents have. Null texts and an empty
     lexicon have no hits. Rows that repeat an id have to repeat its text.
     """
@@ -159,20 +176,25 @@ def lexicon_hits(df: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text
     facts = index.agg(F.count("*"), F.max(F.expr("array_max(transform(terms, t -> size(t.words)))"))).first()
     longest = facts[1] or 1
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    own = docs.select("id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("head"))
+    own = word_places(docs)
     heads = index.select("head")
     if facts[0] <= broadcast_terms:
         found = own.join(F.broadcast(heads), "head")
     else:
-        counts = stage(own.join(heads.hint("merge"), "head").groupBy("head").agg(F.count("*").alias("n")), "heads")
-        hot = hot_keys(counts, "head", "n", counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-        found = join_by_key(own, heads, "head", hot)
-    listed = found.groupBy("id").agg(F.collect_set("head").alias("heads"))
-    held = docs.join(listed.hint("merge"), "id").select("id", "heads", F.lower("text").alias("text"))
+        words = docs.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("head")).groupBy("head").agg(F.count("*").alias("n"))
+        counts = stage(words.join(heads.hint("merge"), "head"), "heads")
+        found = join_salted(own, heads, "head", counts, counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    # of rows that repeat an id, places are looked up in each text; words there that begin no term find none
+    listed = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
+    every = docs.select("id").distinct()
+    if longest == 1:
+        # each place is a match, and none overlaps another
+        out = every.join(listed.select("id", F.size("at").alias("hits")), "id", "left")
+        return out.select(F.col("id").alias(id_col), F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"))
+    held = docs.join(listed.hint("merge"), "id").select("id", "at", F.lower("text").alias("text"))
     held = computed_once(held, words=tokens(F.col("text")), gaps=_gaps("text")).drop("text")
-    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains("heads", F.get("words", i)))
     # the gap after word i is number i + 1
-    places = held.select("id", F.explode(F.transform(at, lambda i: F.struct(
+    places = held.select("id", F.explode(F.transform("at", lambda i: F.struct(
         i.alias("at"), F.get("words", i).alias("head"), F.slice("words", i + 1, longest).alias("words"),
         F.slice("gaps", i + 2, longest).alias("gaps")))).alias("p")).select("id", "p.*")
     places = stage(places, "places")
@@ -190,5 +212,5 @@ def lexicon_hits(df: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text
     walked = F.aggregate(F.sort_array(F.collect_set("m")), F.struct(F.lit(0).alias("until"), F.lit(0).cast("bigint").alias("n")), lambda s, m: F.when(
         m["at"] >= s["until"], F.struct(m["end"].alias("until"), (s["n"] + 1).alias("n"))).otherwise(s))
     hits = met.groupBy("id").agg(walked["n"].alias("hits"))
-    out = docs.select("id").distinct().join(hits, "id", "left")
+    out = every.join(hits, "id", "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"))

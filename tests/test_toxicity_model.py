@@ -130,3 +130,18 @@ def test_empty_lexicon_and_bad_terms(spark):
     assert M.lexicon_hits(df, none).first().hits == 0 and M.lexicon_hits(df.limit(0), none).count() == 0
     with pytest.raises(Exception, match="begin and end"):
         M.lexicon_hits(df, spark.createDataFrame([("-x",)], "term string")).collect()
+
+
+def test_places_of_words_are_not_searched_term_by_term(spark):
+    """All words of a text begin a term: the work may not be words times terms."""
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40_000))), (1, " ".join(f"w{i}" for i in range(40_000))), (2, None)], DOCS)
+    lexicon = spark.range(40_000).select(F.concat(F.lit("w"), "id").alias("term"))
+    for limit in (0, 10**6):
+        out = M.lexicon_hits(df, lexicon, broadcast_terms=limit)
+        assert "array_contains" not in plan_of(out)
+        assert {r.doc_id: r.hits for r in out.collect()} == {1: 40_000, 2: 0}
+
+
+def test_places_of_words(spark):
+    df = spark.createDataFrame([(1, "b a, B"), (2, ""), (3, None)], "id bigint, text string")
+    assert sorted((r.id, r.head, r.at) for r in M.word_places(df).collect()) == [(1, "a", [1]), (1, "b", [0, 2])]
