@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.language import LABEL_PREFIX, UNKNOWN
 from .ingest import computed_once
-from .joins import hot_keys, join_by_key, with_terms
+from .joins import hot_keys, join_by_key, term_sums
 
 #: a model of up to so many n-grams is broadcast (some 100 bytes each); a larger one is joined by shuffles
 BROADCAST_GRAMS = 200_000
@@ -28,11 +28,9 @@ def plain_text(text: Column) -> Column:
 
 def with_grams(df: DataFrame, text: Column, size: int) -> DataFrame:
     """A row for each n-gram of the whole text, one for a text without: ``pos`` and ``gram``, then null."""
-    chars = computed_once(df, _chars=F.split(plain_text(F.coalesce(text, F.lit(""))), ""))
-    last = F.size("_chars") - size
-    grams = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.concat(
-        *(F.get("_chars", i + k) for k in range(size)))))
-    return chars.select(*df.columns, F.posexplode_outer(grams).alias("pos", "gram"))
+    # one match for each character, which looks ahead at the n-gram that begins there
+    grams = F.regexp_extract_all(plain_text(F.coalesce(text, F.lit(""))), F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
+    return df.select(*df.columns, F.posexplode_outer(grams).alias("pos", "gram"))
 
 
 @dataclass(frozen=True)
@@ -111,8 +109,8 @@ def predict_language(df: DataFrame, model: LanguageModel, id_col: str = "doc_id"
     document, whose score is that of a single copy, and null ids are one id.
 
     A model of up to ``broadcast_grams`` n-grams is broadcast, and each task sums up its own
-    documents. A larger one is joined to counts per document; n-grams that are frequent in the
-    model are broadcast there, as they are in every document.
+    documents. Of a larger one the n-grams that are frequent in the model are broadcast, and only
+    the others of a document are joined by shuffles.
     """
     languages = range(len(model.languages))
     docs = with_grams(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), F.col("text"), model.size)
@@ -120,11 +118,10 @@ def predict_language(df: DataFrame, model: LanguageModel, id_col: str = "doc_id"
     docs = docs.select("id", "gram", F.when(F.coalesce("pos", F.lit(0)) == 0, 1).otherwise(0).alias("rows"))
     table = model.grams.select("gram", model.losses(F.col("counts"), k).alias("losses"))
     every = model.grams.select("gram", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
-    found = with_terms(docs, table, "gram", hot_keys(every, "gram", "n", sum(model.totals)), model.vocabulary <= broadcast_grams)
-    seen = F.when(F.col("gram").isNotNull(), F.col("n")).otherwise(0)
+    seen = F.when(F.col("gram").isNotNull(), F.col("_n")).otherwise(0)
     unseen = [F.log(F.lit(k / (t + k * max(model.vocabulary, 1)))) for t in model.totals]
-    sums = [F.sum(seen * F.coalesce(F.get("losses", i), unseen[i])).alias(f"s{i}") for i in languages]
-    scored = found.groupBy("id").agg(F.sum(seen).alias("grams"), F.sum("rows").alias("rows"), *sums)
+    sums = {f"s{i}": seen * F.coalesce(F.get("losses", i), unseen[i]) for i in languages}
+    scored = term_sums(docs, table, "gram", every, sum(model.totals), model.vocabulary <= broadcast_grams, grams=seen, **sums)
     if not model.languages:
         return scored.select(F.col("id").alias(id_col), F.lit(UNKNOWN[0]).alias("label"), F.lit(UNKNOWN[1]).alias("score"), "rows")
     values = F.array(*(F.col(f"s{i}") / F.col("rows") + F.lit(p) for i, p in zip(languages, model.priors())))

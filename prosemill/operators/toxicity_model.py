@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..sources.storage import stage
 from .ingest import computed_once
-from .joins import hot_keys, join_by_key, join_salted, with_terms
+from .joins import hot_keys, join_by_key, join_salted, term_sums
 from .report import SIDE, pct
 
 #: a table of up to so many words or terms is broadcast (some 50 bytes each)
@@ -84,11 +84,11 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
     """
     docs = df.select(F.col(id_col).alias("id"), F.posexplode_outer(tokens(F.col(text_col))).alias("pos", "word"))
     docs = docs.select("id", "word", F.when(F.coalesce("pos", F.lit(0)) == 0, 1).otherwise(0).alias("rows"))
-    hot = hot_keys(model.words.select("word", (F.col("toxic") + F.col("clean")).alias("n")), "word", "n", model.toxic + model.clean)
-    found = with_terms(docs, model.words.select("word", model.odds(k).alias("odds")), "word", hot, model.vocabulary <= broadcast_words)
-    total = F.coalesce(F.sum(F.col("n") * F.col("odds")), F.lit(0.0)) / F.sum("rows")
-    logit = total + F.lit(log(model.toxic_docs / model.clean_docs))
-    return found.groupBy("id").agg(logit.alias("logit")).select(
+    counts = model.words.select("word", (F.col("toxic") + F.col("clean")).alias("n"))
+    found = term_sums(docs, model.words.select("word", model.odds(k).alias("odds")), "word", counts, model.toxic + model.clean,
+                      model.vocabulary <= broadcast_words, odds=F.coalesce(F.col("_n") * F.col("odds"), F.lit(0.0)))
+    logit = F.col("odds") / F.col("rows") + F.lit(log(model.toxic_docs / model.clean_docs))
+    return found.select("id", logit.alias("logit")).select(
         F.col("id").alias(id_col), "logit", (1 / (1 + F.exp(-F.greatest(F.least("logit", F.lit(700.0)), F.lit(-700.0))))).alias("score"))
 
 

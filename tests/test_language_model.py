@@ -133,3 +133,22 @@ def test_run_with_a_trained_model(spark, model, tmp_path):
 def test_unknown_paths_are_named():
     with pytest.warns(UserWarning, match="paths.outptu has no effect"):
         C.from_dict({"ingestion": {"input_path": "x"}, "paths": {"outptu": "y"}})
+
+
+def test_rare_and_frequent_terms_sum_up_as_with_a_small_table(spark, monkeypatch):
+    from prosemill.operators import joins as J
+
+    monkeypatch.setattr(J, "BROADCAST_TERMS", 3)
+    terms = spark.createDataFrame([(1, "a", 1), (1, "b", 0), (1, "b", 0), (1, "z", 0), (2, None, 1), (None, "a", 1), (3, "c", 1)], "id int, t string, rows int")
+    table = spark.createDataFrame([("a", 1.0, 9), ("b", 10.0, 2), ("c", 100.0, 1)], "t string, v double, n bigint")
+    n = F.when(F.col("t").isNotNull(), F.col("_n")).otherwise(0)
+    got = [sorted(map(tuple, J.term_sums(terms, table.select("t", "v"), "t", table.select("t", "n"), 12, small, seen=n,
+                                         v=n * F.coalesce("v", F.lit(0.5))).collect()), key=str) for small in (True, False)]
+    assert got[0] == got[1] == sorted([(1, 1, 4, 21.5), (2, 1, 0, 0.0), (None, 1, 1, 1.0), (3, 1, 1, 100.0)], key=str)
+
+
+def test_grams_of_characters_beyond_the_basic_plane(spark):
+    df = spark.createDataFrame([(1, "a\U00010400\U00010428b"), (2, "")], "id int, text string")
+    rows = [(r.id, r.pos, r.gram) for r in M.with_grams(df.select("id", "text"), F.col("text"), 3).drop("text").collect()]
+    x = "\U00010428"
+    assert sorted(rows, key=str) == sorted([(1, 0, f" a{x}"), (1, 1, f"a{x}{x}"), (1, 2, f"{x}{x}b"), (1, 3, f"{x}b "), (2, None, None)], key=str)
