@@ -16,6 +16,11 @@ from ..sources.storage import stage
 from .ingest import computed_once
 from .joins import hot_keys, int_median, join_by_key
 
+#: fewer frequent bigrams than this are broadcast, of two numbers each
+BROADCAST_BIGRAMS = 1_000_000
+#: room for a dictionary of two million words in a Parquet file, whose rows then hold their numbers
+_WORD_PAGES = {"parquet.dictionary.page.size": 16 << 20}
+
 
 @dataclass(frozen=True)
 class Windows:
@@ -71,7 +76,7 @@ def bigrams(df: DataFrame, windows: Windows, id_col: str) -> DataFrame:
     last = F.size("ids") - 1
     rows = df.select(F.col(id_col).alias("doc"), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("ids"))
     rows = computed_once(rows, ids=F.col("ids")).where("size(ids) > 0")
-    pairs = F.when(last > 0, F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), entry)))
+    pairs = F.when(last > 0, F.sort_array(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), entry)))
     rows = computed_once(rows, pairs=pairs)
     # runs of equal entries: where each begins, and how far the next one is
     begins = F.filter(F.sequence(F.lit(0), F.size("pairs") - 1), lambda i: (i == 0) | (F.get("pairs", i) != F.get("pairs", i - 1)))
@@ -86,18 +91,17 @@ def bigrams(df: DataFrame, windows: Windows, id_col: str) -> DataFrame:
 
 
 def bigram_model(pairs: DataFrame, k: float) -> DataFrame:
-    """``gram, n, rows, loss`` with add-k smoothing from staged bigrams; ``rows`` of them have the
-    gram. Counting combines on the map side; every word is the second of some row, so the
-    vocabulary comes from the counts."""
-    counts = stage(pairs.groupBy("gram", "first", "second").agg(F.sum("n").alias("n"), F.count("*").alias("rows")), "grams")
+    """``gram, n, loss`` with add-k smoothing from staged bigrams. Counting combines on the map
+    side; every word is the second of some row, so the vocabulary comes from the counts."""
+    counts = stage(pairs.groupBy("first", "second").agg(F.sum("n").alias("n")), "grams")
     vocabulary = counts.select("second").distinct().count()
-    grams = counts.where("first IS NOT NULL").drop("second")
+    grams = counts.where("first IS NOT NULL")
     contexts = stage(grams.groupBy("first").agg(
         F.sum("n").alias("first_n"), F.count("*").alias("grams")), "contexts")
     total = contexts.agg(F.coalesce(F.sum("grams"), F.lit(0))).first()[0]
     known = join_by_key(grams, contexts.drop("grams"), "first", hot_keys(contexts, "first", "grams", total))
     smooth = (F.col("n") + k) / (F.col("first_n") + k * vocabulary)
-    return known.select("gram", "n", "rows", (-F.log(smooth)).alias("loss"))
+    return known.select(F.xxhash64("first", "second").alias("gram"), "n", (-F.log(smooth)).alias("loss"))
 
 
 def perplexity(
@@ -113,16 +117,17 @@ def perplexity(
     one row for each that is distinct in a window. Bigrams are joined by 64 bits, so among
     billions of distinct ones a few share a count.
     """
-    pairs = stage(bigrams(df, windows, id_col), "pairs")
+    # the hash of a bigram follows from its words, and is the one column that Parquet cannot make smaller
+    pairs = stage(bigrams(df, windows, id_col).drop("gram"), "pairs", **_WORD_PAGES).withColumn("gram", F.xxhash64("first", "second"))
     model = stage(bigram_model(pairs, k), "model")
     docs = df if scored is None else df.join(scored.select(id_col), id_col, "left_semi")
     own = pairs if scored is None else pairs.join(scored.select(F.col(id_col).alias("doc")), "doc", "left_semi")
-    total = model.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # every bigram is in the model; a left join keeps the many rows of the left side,
     # whose size the optimizer underestimates, from being broadcast
     losses = join_by_key(
         own.where("window IS NOT NULL").select("doc", "window", "gram", "n"), model.select("gram", "loss"), "gram",
-        hot_keys(model, "gram", "rows", total), "left")
+        hot_keys(model, "gram", "n", total, BROADCAST_BIGRAMS), "left")
     by_window = losses.groupBy("doc", "window").agg(F.sum(F.col("n") * F.col("loss")).alias("loss"), F.sum("n").alias("tokens"))
     mean = F.sum("loss") / F.sum("tokens") if weighted else F.avg(F.col("loss") / F.col("tokens"))
     by_doc = by_window.groupBy("doc").agg(F.count("*").alias("windows"), mean.alias("mean_loss"))

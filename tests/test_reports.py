@@ -281,3 +281,16 @@ def test_profile_parses_a_line_once(spark, lines, monkeypatch):
     parses = {name: plan.count("try_parse_json") + plan.count("parseJson(") for name, plan in staged}
     assert parses["lines"] >= 1 and all(n == 0 for name, n in parses.items() if name != "lines")
     assert "arse" not in plan_of(out).lower().replace("parsed", "") and "Python" not in plan_of(out)
+
+
+def test_staged_bigrams_hold_no_hash_that_follows_from_their_words(spark, monkeypatch):
+    staged = {}
+    plain = PP.stage
+    monkeypatch.setattr(PP, "stage", lambda df, name, **options: staged.update({name: df.columns}) or plain(df, name, **options))
+    df = spark.createDataFrame([(1, "a b a b c"), (2, "a b"), (None, "b c"), (3, None)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.windows, r.perplexity) for r in PP.perplexity(df, k=0.5).collect()}
+    assert "gram" not in staged["pairs"] and "gram" not in staged["grams"]
+    # three words; a: 3 of b, b: 1 of a and 2 of c
+    loss = {"ab": -math.log(3.5 / 4.5), "ba": -math.log(1.5 / 4.5), "bc": -math.log(2.5 / 4.5)}
+    assert got[2] == (1, pytest.approx(math.exp(loss["ab"])))
+    assert got[1] == (1, pytest.approx(math.exp((2 * loss["ab"] + loss["ba"] + loss["bc"]) / 4)))
