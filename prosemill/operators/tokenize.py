@@ -3,6 +3,7 @@
 import base64
 import logging
 import os
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -21,6 +22,8 @@ FALLBACK_ENCODING = "gpt2"
 #: built-in tokenizer: white-space words, whose ids are the first 28 bits of their MD5
 WORDS = "words"
 LONG_DOCUMENT = 100_000
+#: ids of the documents whose results a worker holds at a time
+_BATCH = 500_000
 _NO_IDS = np.array([], dtype=np.uint32)
 SPECIALS = ("error_empty", "as_text")
 
@@ -69,27 +72,39 @@ def _local_copy(path: str) -> str:
 
 
 def encode_udf(cfg: TokenizeConfig):
-    """UDF text -> struct<ids, error>; a failing document has no ids and the message."""
+    """UDF text -> struct<ids, error>; a failing document has no ids and the message.
+
+    Results leave the worker after some ``_BATCH`` ids, whatever the size of the batch that came.
+    """
     options = {"allowed_special": "all" if cfg.parse_special else set()}
     if cfg.special == "as_text":
         options["disallowed_special"] = ()
     model, ranks_path = cfg.tokenizer_model, cfg.ranks_path
 
     @F.arrow_udf("ids array<bigint>, error string")
-    def encode(texts: pa.Array) -> pa.Array:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(model, ranks_path)
-        ids, errors = [], []
-        for text in texts.to_pylist():
-            try:
-                ids.append(enc.encode_to_numpy(text, **options))
-                errors.append(None)
-            except Exception as err:
-                ids.append(_NO_IDS)
-                errors.append(f"{type(err).__name__}: {err}")
-        ends = np.cumsum([0, *map(len, ids)])
-        flat = np.concatenate([_NO_IDS, *ids]).astype(np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-        return pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], ["ids", "error"])
+
+        def results(ids, errors):
+            ends = np.cumsum([0, *map(len, ids)])
+            flat = np.concatenate([_NO_IDS, *ids]).astype(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            return pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], ["ids", "error"])
+
+        for texts in batches:
+            ids, errors, held = [], [], 0
+            for text in texts:
+                try:
+                    ids.append(enc.encode_to_numpy(text.as_py(), **options))
+                    errors.append(None)
+                except Exception as err:
+                    ids.append(_NO_IDS)
+                    errors.append(f"{type(err).__name__}: {err}")
+                held += len(ids[-1])
+                if held >= _BATCH:
+                    yield results(ids, errors)
+                    ids, errors, held = [], [], 0
+            yield results(ids, errors)
 
     return encode.asNondeterministic()
 
@@ -106,9 +121,18 @@ def decode_udf(cfg: TokenizeConfig):
     model, ranks_path = cfg.tokenizer_model, cfg.ranks_path
 
     @F.arrow_udf("string")
-    def decode(ids: pa.Array) -> pa.Array:
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(model, ranks_path)
-        return pa.array([None if x is None else enc.decode(x) for x in ids.to_pylist()], pa.string())
+        for ids in batches:
+            texts, held = [], 0
+            for own in ids:
+                # ids of one document at a time become numbers of Python
+                texts.append(enc.decode(own.as_py()) if own.is_valid else None)
+                held += len(own.values) if own.is_valid else 0
+                if held >= _BATCH:
+                    yield pa.array(texts, pa.string())
+                    texts, held = [], 0
+            yield pa.array(texts, pa.string())
 
     return decode.asNondeterministic()
 

@@ -1,5 +1,7 @@
 import os
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -106,3 +108,26 @@ def test_step_switches(spark, tmp_path):
     target = T.run_tokenization(df, cfg(output_path=str(tmp_path / "cfg")), str(tmp_path / "arg"))
     assert target == str(tmp_path / "arg") and not (tmp_path / "cfg").exists()
     assert T.run_tokenization(df, cfg(output_path=str(tmp_path / "cfg"))) == str(tmp_path / "cfg")
+
+
+def test_results_leave_the_worker_in_parts(spark, monkeypatch):
+    """One batch of many documents comes out whole, though no more than a few ids are held."""
+    monkeypatch.setattr(T, "_BATCH", 3)
+    monkeypatch.setattr(T, "encoder", lambda *_: _Letters())
+    cfg = T.TokenizeConfig(special="as_text")
+    encode, decode = T.encode_udf(cfg).func, T.decode_udf(cfg).func
+    texts = pa.array(["ab", None, "", "cde", "f"])
+    parts = list(encode(iter([texts])))
+    ids = pa.chunked_array([p.field("ids") for p in parts])
+    assert len(parts) > 1 and ids.to_pylist() == [[97, 98], [], [], [99, 100, 101], [102]]
+    assert [e is None for p in parts for e in p.field("error").to_pylist()] == [True, False, True, True, True]
+    lists = pa.array([[97, 98], None, [], [99, 100], [102]], pa.list_(pa.int64()))
+    assert [t for p in decode(iter([lists])) for t in p.to_pylist()] == ["ab", None, "", "cd", "f"]
+
+
+class _Letters:
+    def encode_to_numpy(self, text, **_):
+        return np.array([ord(c) for c in text], np.uint32)
+
+    def decode(self, ids):
+        return "".join(map(chr, ids))
