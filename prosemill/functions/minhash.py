@@ -20,7 +20,7 @@ from .text import bound, shingles
 #         "seed:a:i" and "seed:b:i"; every step fits in a signed 64-bit integer, so plain
 #         SQL computes the same signatures
 FAMILIES = ("sha1", "xxhash64", "md5")
-_MERSENNE_61, _MERSENNE_31 = np.uint64((1 << 61) - 1), np.int64((1 << 31) - 1)
+_MERSENNE_61, _MERSENNE_31 = np.uint64((1 << 61) - 1), np.uint64((1 << 31) - 1)
 
 
 @lru_cache(maxsize=None)
@@ -85,24 +85,26 @@ def shingle_hashes(text: F.Column, ngram: int = 5, family: str = "sha1") -> F.Co
 
 def signature(base: np.ndarray, family: str, num_perm: int, seed: int, chunk: int = 256) -> np.ndarray:
     """Minimum of every permutation over the hashes, a cache-sized chunk at a time."""
-    a, b = coefficients(family, num_perm, seed)
-    base = base.astype(np.int64 if family == "md5" else np.uint64)
-    lows = []
+    a, b = (x.astype(np.uint64) for x in coefficients(family, num_perm, seed))
+    base = base.astype(np.uint64)
+    bits, prime = (np.uint64(31), _MERSENNE_31) if family == "md5" else (np.uint64(61), _MERSENNE_61)
+    low = np.full(num_perm, np.iinfo(np.uint64).max)
+    room = np.empty((2, min(chunk, len(base)), num_perm), np.uint64)
     for i in range(0, len(base), chunk):
-        x = base[i : i + chunk, None] * a
+        own = base[i : i + chunk, None]
+        x, other = room[:, : len(own)]
+        np.multiply(own, a, out=x)
         x += b
+        # x mod a Mersenne prime without a division: fold the high bits, subtract at most once
+        np.right_shift(x, bits, out=other)
+        x &= prime
+        x += other
+        np.subtract(x, prime, out=other)
+        np.minimum(x, other, out=x)
         if family != "md5":
-            # x mod (2^61 - 1) without a division: fold the high bits, subtract at most once
-            other = x >> np.uint64(61)
-            x &= _MERSENNE_61
-            x += other
-            np.subtract(x, _MERSENNE_61, out=other)
-            np.minimum(x, other, out=x)
             x &= np.uint64(0xFFFFFFFF)
-        else:
-            x %= _MERSENNE_31
-        lows.append(x.min(axis=0))
-    return np.min(lows, axis=0)
+        np.minimum(low, x.min(axis=0), out=low)
+    return low
 
 
 def _signatures(hashes: pa.Array, num_perm, seed, family):

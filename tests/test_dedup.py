@@ -345,3 +345,11 @@ def test_stream_and_table_agree_on_the_ids(spark, tmp_path):
     want = D.dedup_exact(df, ["id"])
     assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in want.collect())
     assert dedup_exact_stream(stream.drop("doc_id")).columns == ["id"]
+
+
+def test_md5_signature_at_the_ends_of_its_numbers():
+    """Folding instead of a division gives the remainders, also for the least and largest hashes."""
+    a, b = M.coefficients("md5", 64, 42)
+    for base in ([0], [(1 << 28) - 1], [0, 1, 2, (1 << 28) - 1, 123_456_789] * 60):
+        want = [min((int(x) * h + int(y)) % ((1 << 31) - 1) for h in base) for x, y in zip(a, b)]
+        assert [M.signature(np.array(base), "md5", 64, 42, chunk).tolist() for chunk in (1, 7, 256)] == [want] * 3
