@@ -237,3 +237,12 @@ def test_scores_do_not_depend_on_the_batches(spark):
         assert {r.i: r.s for r in df.select("i", scorer("t")["score"].alias("s")).collect()} == want
     with pytest.raises(Exception, match="0 results"):
         df.select(batch_scorer(lambda: None, lambda m, own: [], "score double")("t")).collect()
+
+
+def test_first_characters_are_looked_at_before_the_alternatives(spark):
+    assert "(?=[" in P.whole_words(("the", "of")) and "(?=" not in P.whole_words(("", "a"))
+    texts = ["The -x of-the x. of", "off bathe", "", None, "OF"]
+    words = ("the", "of", "-x")
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(T.hits(F.col("text"), words).alias("got"), F.regexp_count(
+        F.col("text"), F.lit(r"(?iuU)\b(the|of|\-x)\b")).cast("bigint").alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] and rows[0].got == 4
